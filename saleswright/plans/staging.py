@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswright.operators.ingest import flatten_customers
+from saleswright.sources.files import spread
 
 
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -22,15 +23,18 @@ def _code(prefix: str, number: str) -> Column:
 
 
 def _percent(fraction: str) -> Column:
-    return F.round(F.col(fraction) * 100).cast("int")
+    return F.rint(F.col(fraction) * 100).cast("int")
 
 
 def raw_sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as sales, with the three columns only wide files have."""
-    lines = given(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-        "l_returnflag", _percent("l_tax").alias("tax"), _percent("l_discount").alias("disc"),
-    )
+    lines = spread(
+        given(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
+            "l_tax", "l_discount", "l_returnflag",
+        ),
+        by=["l_orderkey", "l_linenumber", "l_partkey"],
+    ).withColumns({"tax": _percent("l_tax"), "disc": _percent("l_discount")})
     orders = given(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 #: Settings that matter to the plans. AQE coalesces small shuffle partitions,
@@ -51,3 +54,19 @@ def enable_skew_handling(spark: SparkSession) -> SparkSession:
     for name in SKEW_CONF:
         spark.conf.set(name, ENGINE_CONF[name])
     return spark
+
+
+@contextmanager
+def temporary_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Run some actions under other settings and put the old ones back."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
+from saleswright.session import temporary_conf
 from saleswright.storage import materialize
 
 
@@ -28,26 +29,34 @@ def append_table(df: DataFrame, path: str) -> int:
     return _counted(df, lambda rows: _parquet(rows, "append").parquet(path))
 
 
-def _by_partition(df: DataFrame, by: str) -> DataFrame:
-    # Brings a partition's rows together so that small ones make one file, and
-    # lets AQE cut a large one into several tasks and files.
-    return df.hint("rebalance", F.col(by))
+# Writing many small partitions costs time per file, not per byte, so shuffle
+# partitions are merged only while tiny; large ones are not affected.
+_MANY_FILES = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+
+
+def _partitioned(df: DataFrame, path: str, by: str, mode: str, **options: str) -> int:
+    """Write one folder per value of ``by``.
+
+    The rebalance brings a value's rows together, so that a small one makes one
+    file, and lets AQE cut a large one into several tasks and files.
+    """
+
+    def save(rows: DataFrame) -> None:
+        writer = _parquet(rows.hint("rebalance", F.col(by)), mode).options(**options)
+        writer.partitionBy(by).parquet(path)
+
+    with temporary_conf(df.sparkSession, _MANY_FILES):
+        return _counted(df, save)
 
 
 def write_partitioned(df: DataFrame, path: str, by: str) -> int:
     """Replace a Parquet table kept in one folder per value of ``by``."""
-    return _counted(
-        df,
-        lambda rows: _parquet(_by_partition(rows, by), "overwrite").partitionBy(by).parquet(path),
-    )
+    return _partitioned(df, path, by, "overwrite", partitionOverwriteMode="static")
 
 
 def append_partitioned(df: DataFrame, path: str, by: str) -> int:
     """Add rows to a partitioned Parquet table."""
-    return _counted(
-        df,
-        lambda rows: _parquet(_by_partition(rows, by), "append").partitionBy(by).parquet(path),
-    )
+    return _partitioned(df, path, by, "append")
 
 
 def replace_partitions(df: DataFrame, path: str, by: str) -> int:
@@ -56,13 +65,7 @@ def replace_partitions(df: DataFrame, path: str, by: str) -> int:
     ``df`` may be read from ``path`` itself: new files are staged and swapped
     in when the job ends.
     """
-    return _counted(
-        df,
-        lambda rows: _parquet(_by_partition(rows, by), "overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by)
-        .parquet(path),
-    )
+    return _partitioned(df, path, by, "overwrite", partitionOverwriteMode="dynamic")
 
 
 def replace_table(df: DataFrame, path: str) -> int:
