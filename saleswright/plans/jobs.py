@@ -6,7 +6,7 @@ fails is repeated from the stage it failed in. Counts are taken while writing.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -14,9 +14,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saleswright import schemas
 from saleswright.functions import dates
 from saleswright.operators import cleaning, dedup, ingest, merging, metrics, modelling, quality
 from saleswright.operators.keys import dense_ids, surrogate_keys
+from saleswright.schemas import ColumnSpec
 from saleswright.sources import files, sinks
 from saleswright.sources.jdbc import JdbcWarehouse, KeyRange
 
@@ -112,7 +114,7 @@ def run_modelling(spark: SparkSession, cfg: JobConfig) -> dict[str, int]:
     )
     counts["fact_sales"] = sinks.write_partitioned(fact, cfg.table("fact_sales"), "sale_date")
 
-    fact = table("fact_sales")
+    fact = files.read_table(spark, cfg.table("fact_sales"), schema=fact.schema)
     counts["daily_category_metrics"] = sinks.write_partitioned(
         metrics.daily_category_metrics(fact), cfg.table("daily_category_metrics"), "sale_date"
     )
@@ -126,9 +128,15 @@ def run_modelling(spark: SparkSession, cfg: JobConfig) -> dict[str, int]:
 
 
 def load_dimension(
-    spark: SparkSession, incoming: DataFrame, path: str, key: str, id_column: str
+    spark: SparkSession,
+    incoming: DataFrame,
+    path: str,
+    key: str,
+    id_column: str,
+    specs: Sequence[ColumnSpec],
 ) -> int:
     """Merge a dimension into its warehouse table; ids and creation times stay."""
+    incoming = modelling.to_table_types(incoming, specs)
     current = open_if_present(spark, path)
     if current is None:
         return sinks.write_table(surrogate_keys(incoming, key, id_column), path)
@@ -148,23 +156,35 @@ def load_fact(spark: SparkSession, incoming: DataFrame, path: str) -> int:
     return sinks.append_partitioned(fresh, path, "sale_date")
 
 
-def run_load(spark: SparkSession, cfg: JobConfig) -> dict[str, int]:
-    """Dimensions, then the fact, into the warehouse tables."""
+def warehouse_table(spark: SparkSession, cfg: JobConfig, name: str) -> DataFrame:
+    return files.read_table(
+        spark, cfg.table(f"warehouse/{name}"), schema=schemas.table_schema(name)
+    )
 
-    def table(name: str) -> DataFrame:
-        return files.read_table(spark, cfg.table(name))
 
-    customers, products = cfg.table("warehouse/dim_customers"), cfg.table("warehouse/dim_products")
-    counts = {
-        "dim_customers": load_dimension(
-            spark, table("dim_customers"), customers, "customer_code", "customer_id"
-        ),
-        "dim_products": load_dimension(
-            spark, table("dim_products"), products, "product_code", "product_id"
-        ),
-    }
+def run_load(spark: SparkSession, cfg: JobConfig) -> dict[str, int]:
+    """Dimensions, then the fact, into the warehouse tables."""
+    counts = {}
+    for name, key, id_column in (
+        ("dim_customers", "customer_code", "customer_id"),
+        ("dim_products", "product_code", "product_id"),
+    ):
+        counts[name] = load_dimension(
+            spark,
+            files.read_table(spark, cfg.table(name)),
+            cfg.table(f"warehouse/{name}"),
+            key,
+            id_column,
+            schemas.WAREHOUSE[name],
+        )
+    lake_fact = open_if_present(spark, cfg.table("fact_sales"))
+    if lake_fact is None:
+        counts["fact_sales"] = 0
+        return counts
     fact = modelling.warehouse_fact(
-        table("fact_sales"), spark.read.parquet(customers), spark.read.parquet(products)
+        lake_fact,
+        warehouse_table(spark, cfg, "dim_customers"),
+        warehouse_table(spark, cfg, "dim_products"),
     )
     counts["fact_sales"] = load_fact(spark, fact, cfg.table("warehouse/fact_sales"))
     return counts
@@ -178,8 +198,8 @@ def load_to_database(
     Dimensions replace the tables' rows, the fact's new rows are appended.
     """
     for name in ("dim_customers", "dim_products"):
-        target.replace(files.read_table(spark, cfg.table(f"warehouse/{name}")), name)
-    fact = files.read_table(spark, cfg.table("warehouse/fact_sales"))
+        target.replace(warehouse_table(spark, cfg, name), name)
+    fact = warehouse_table(spark, cfg, "fact_sales")
     present = target.read(spark, "fact_sales", ["transaction_id"], split)
     target.append(merging.rows_to_append(present, fact, "transaction_id"), "fact_sales")
 
@@ -187,11 +207,15 @@ def load_to_database(
 # --- quality and summary
 
 
+def _table_or_empty(spark: SparkSession, cfg: JobConfig, name: str) -> DataFrame:
+    if open_if_present(spark, cfg.table(f"warehouse/{name}")) is None:
+        return spark.createDataFrame([], schemas.table_schema(name))
+    return warehouse_table(spark, cfg, name)
+
+
 def run_quality(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     """Check the warehouse tables, append the outcome to the log, return the tallies."""
-    tables = {
-        name: files.read_table(spark, cfg.table(f"warehouse/{name}")) for name in quality.SUITE
-    }
+    tables = {name: _table_or_empty(spark, cfg, name) for name in quality.SUITE}
     checks = quality.run_all_checks(spark, tables, cfg.today)
     log = cfg.table("warehouse/data_quality_logs")
     sinks.append_table(quality.log_rows(checks, cfg.run_id, cfg.run_time), log)
@@ -219,8 +243,8 @@ def upsert_summary(spark: SparkSession, incoming: DataFrame, path: str) -> int:
 def run_summary(spark: SparkSession, cfg: JobConfig) -> int:
     """The summary of the day ``as_of``."""
     day = metrics.daily_sales_summary(
-        files.read_table(spark, cfg.table("warehouse/fact_sales")),
-        files.read_table(spark, cfg.table("warehouse/dim_products")),
+        warehouse_table(spark, cfg, "fact_sales"),
+        warehouse_table(spark, cfg, "dim_products"),
         cfg.today,
         cfg.run_time,
     )

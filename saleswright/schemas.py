@@ -224,3 +224,8 @@ WAREHOUSE = {
     "daily_sales_summary": DAILY_SALES_SUMMARY,
     "data_quality_logs": DATA_QUALITY_LOGS,
 }
+
+
+def table_schema(name: str) -> T.StructType:
+    """A warehouse table's columns as a Spark schema."""
+    return T.StructType([T.StructField(s.name, s.type) for s in WAREHOUSE[name]])

@@ -51,9 +51,18 @@ def read_customers_json(
     return (reader if schema is None else reader.schema(schema)).json(path)
 
 
-def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """A Parquet table of any layer, down to the columns wanted."""
-    table = spark.read.parquet(path)
+def read_table(
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str] | None = None,
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    """A Parquet table of any layer, down to the columns wanted.
+
+    With a schema the table may be empty and no file is opened to learn it.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    table = reader.parquet(path)
     return table if columns is None else table.select(*columns)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
@@ -12,7 +13,11 @@ from saleswright.storage import materialize
 def _counted(df: DataFrame, save) -> int:
     seen = Observation()
     save(df.observe(seen, F.count(F.lit(1)).alias("n")))
-    return seen.get.get("n", 0)
+    try:
+        return seen.get["n"]
+    except (KeyError, Py4JJavaError):
+        # The optimizer drops the count along with a plan it finds to be empty.
+        return 0
 
 
 def _parquet(df: DataFrame, mode: str) -> DataFrameWriter:
