@@ -6,9 +6,8 @@ given to rows by the values they carry. Every row of the source tables is kept.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from saleswright.operators.ingest import flatten_customers
 from saleswright.sources.files import spread
@@ -18,63 +17,73 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _code(prefix: str, number: str) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(F.col(number).cast("string"), 12, "0"))
+def _code(prefix: str, number: str) -> str:
+    return f"concat('{prefix}', lpad(cast({number} as string), 12, '0'))"
 
 
-def _percent(fraction: str) -> Column:
-    return F.rint(F.col(fraction) * 100).cast("int")
+def _columns(expressions: dict[str, str]) -> list[str]:
+    return [f"{expression} as {name}" for name, expression in expressions.items()]
+
+
+def _fields(expressions: dict[str, str]) -> str:
+    return f"struct({', '.join(_columns(expressions))})"
 
 
 def raw_sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as sales, with the three columns only wide files have."""
     lines = spread(
-        given(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-            "l_tax", "l_discount", "l_returnflag",
+        given(spark, sf_dir, "lineitem").selectExpr(
+            "l_orderkey",
+            "l_linenumber",
+            "l_partkey",
+            "l_quantity",
+            "l_extendedprice",
+            "l_returnflag",
+            "l_tax",
+            "l_discount",
         ),
         by=["l_orderkey", "l_linenumber", "l_partkey"],
-    ).withColumns({"tax": _percent("l_tax"), "disc": _percent("l_discount")})
+    ).selectExpr(
+        "*", "cast(rint(l_tax * 100) as int) as tax", "cast(rint(l_discount * 100) as int) as disc"
+    )
     orders = given(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"
     )
-    tax, disc = F.col("tax"), F.col("disc")
-    odd, last = (tax == 0), (tax == 8)
-    day = F.col("o_orderdate")
-
-    def date_text(pattern: str) -> Column:
-        return F.date_format(day, pattern)
-
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner").select(
-        F.when(
-            ~(last & (disc == 0)),
-            F.concat(
-                _code("TXN", "l_orderkey"), F.lit("-"), F.col("l_linenumber").cast("string")
-            ),
-        ).alias("transaction_id"),
-        F.when(~(last & (disc == 1)), _code("CUST", "o_custkey")).alias("customer_code"),
-        _code("PROD", "l_partkey").alias("product_code"),
-        F.when(odd & (disc == 0), date_text("dd/MM/yyyy"))
-        .when(odd & (disc == 10), date_text("MM-dd-yyyy"))
-        .when(last & (disc == 10), date_text("yyyyMMdd"))
-        .otherwise(date_text("yyyy-MM-dd"))
-        .alias("sale_date"),
-        F.when(odd & (disc == 1), 0).otherwise(F.col("l_quantity").cast("int")).alias("quantity"),
-        F.when(odd & (disc == 2), F.lit(0.0))
-        .when(odd & (disc == 3), F.lit(-10.0))
-        .when(odd & (disc == 4), F.lit(999999.99))
-        .otherwise(F.col("l_extendedprice"))
-        .alias("unit_price"),
-        F.when(odd & (disc == 5), F.lit(9999999.0))
-        .when(disc > 0, disc.cast("double"))
-        .alias("discount"),
-        F.when((tax == 1) & (disc == 0), F.lit(None).cast("string"))
-        .when((tax == 1) & (disc == 10), F.lit(""))
-        .otherwise(F.concat(F.lit("  "), F.lower(F.substring("o_orderpriority", 3, 20)), F.lit(" ")))
-        .alias("payment_method"),
-        F.lit("PEN").alias("currency"),
-        F.lower("l_returnflag").alias("sales_channel"),
-        F.col("o_orderstatus").alias("region"),
+    return lines.join(orders, F.expr("l_orderkey = o_orderkey"), "inner").selectExpr(
+        *_columns(
+            {
+                "transaction_id": (
+                    "case when not (tax = 8 and disc = 0) then "
+                    f"concat({_code('TXN', 'l_orderkey')}, '-', cast(l_linenumber as string)) end"
+                ),
+                "customer_code": (
+                    f"case when not (tax = 8 and disc = 1) then {_code('CUST', 'o_custkey')} end"
+                ),
+                "product_code": _code("PROD", "l_partkey"),
+                "sale_date": (
+                    "case when tax = 0 and disc = 0 then date_format(o_orderdate, 'dd/MM/yyyy') "
+                    "when tax = 0 and disc = 10 then date_format(o_orderdate, 'MM-dd-yyyy') "
+                    "when tax = 8 and disc = 10 then date_format(o_orderdate, 'yyyyMMdd') "
+                    "else date_format(o_orderdate, 'yyyy-MM-dd') end"
+                ),
+                "quantity": "if(tax = 0 and disc = 1, 0, cast(l_quantity as int))",
+                "unit_price": (
+                    "case when tax = 0 and disc = 2 then 0d when tax = 0 and disc = 3 then -10d "
+                    "when tax = 0 and disc = 4 then 999999.99d else l_extendedprice end"
+                ),
+                "discount": (
+                    "case when tax = 0 and disc = 5 then 9999999d "
+                    "when disc > 0 then cast(disc as double) end"
+                ),
+                "payment_method": (
+                    "case when tax = 1 and disc = 0 then null when tax = 1 and disc = 10 then '' "
+                    "else concat('  ', lower(substring(o_orderpriority, 3)), ' ') end"
+                ),
+                "currency": "'PEN'",
+                "sales_channel": "lower(l_returnflag)",
+                "region": "o_orderstatus",
+            }
+        )
     )
 
 
@@ -82,64 +91,68 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_sales_wide(spark, sf_dir).drop("currency", "sales_channel", "region")
 
 
-def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_places(table: DataFrame, nation_key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     nations, regions = given(spark, sf_dir, "nation"), given(spark, sf_dir, "region")
-    return nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "inner")
+    places = nations.join(regions, F.expr("n_regionkey = r_regionkey"), "inner")
+    return table.join(places, F.expr(f"{nation_key} = n_nationkey"), "inner")
 
 
 def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as nested documents."""
-    joined = given(spark, sf_dir, "customer").join(
-        _places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "inner"
-    )
-    first, digits = F.split_part("c_name", F.lit("#"), F.lit(1)), F.split_part(
-        "c_name", F.lit("#"), F.lit(2)
-    )
-    segment, balance, nation = F.col("c_mktsegment"), F.col("c_acctbal"), F.col("c_nationkey")
-    mail = F.concat(F.lit("customer."), digits, F.lit("@mail.example.com"))
-    registered = F.date_add(
-        F.lit("1995-01-01").cast("date"), F.floor(F.abs(balance) / 5).cast("int")
+    mail = "concat('customer.', digits, '@mail.example.com')"
+    named = given(spark, sf_dir, "customer").selectExpr(
+        "*",
+        "split_part(c_name, '#', 1) as given",
+        "split_part(c_name, '#', 2) as digits",
+        "date_add(date'1995-01-01', cast(floor(abs(c_acctbal) / 5) as int)) as registered",
     )
-    return joined.select(
-        _code("CUST", "c_custkey").alias("customer_id"),
-        F.struct(
-            F.when((segment == "HOUSEHOLD") & (balance < -900), F.lit(None).cast("string"))
-            .when(segment == "BUILDING", F.lower(first))
-            .when(segment == "MACHINERY", F.concat(F.lit("  "), first, F.lit("  ")))
-            .when(segment == "FURNITURE", F.upper(first))
-            .otherwise(first)
-            .alias("first_name"),
-            F.concat(F.lit("de la "), digits).alias("last_name"),
-        ).alias("personal_info"),
-        F.struct(
-            F.when(balance < 0, F.concat(F.lit(" "), mail))
-            .when(balance >= 9700, F.lit("duplicated.email@example.com"))
-            .when(balance >= 9400, F.concat(F.lit("josé."), digits, F.lit("@mail.example.com")))
-            .when(segment == "FURNITURE", F.upper(mail))
-            .otherwise(mail)
-            .alias("email"),
-            F.when(nation == 3, F.concat(F.lit("(912) 345-"), F.substring(digits, 6, 4)))
-            .when(nation == 4, F.concat(F.lit("051-912-345-"), F.substring(digits, 7, 3)))
-            .when(nation == 5, F.lit(None).cast("string"))
-            .when(nation == 6, F.concat(F.lit("+51-999-"), digits, F.lit(" ext. 0001")))
-            .otherwise(F.concat(F.lit("+51-999-"), F.substring(digits, 4, 6)))
-            .alias("phone"),
-        ).alias("contact"),
-        F.struct(
-            F.concat(F.lit(" "), F.lower("n_name"), F.lit(" ")).alias("country"),
-            F.lower("r_name").alias("city"),
-        ).alias("address"),
-        F.when(nation == 7, F.date_format(registered, "dd/MM/yyyy"))
-        .otherwise(F.date_format(registered, "yyyy-MM-dd"))
-        .alias("registration_date"),
-        F.concat(F.lit(" "), F.lower(segment), F.lit(" ")).alias("segment"),
-        F.lit("ACTIVE").alias("status"),
-        F.struct(
-            (balance > 0).alias("marketing_emails"),
-            F.lit("ES").alias("language"),
-            F.lit("USD").alias("currency"),
-        ).alias("preferences"),
-        F.struct(balance.alias("lifetime_value")).alias("metadata"),
+    return _with_places(named, "c_nationkey", spark, sf_dir).selectExpr(
+        *_columns(
+            {
+                "customer_id": _code("CUST", "c_custkey"),
+                "personal_info": _fields(
+                    {
+                        "first_name": (
+                            "case when c_mktsegment = 'HOUSEHOLD' and c_acctbal < -900 then null "
+                            "when c_mktsegment = 'BUILDING' then lower(given) "
+                            "when c_mktsegment = 'MACHINERY' then concat('  ', given, '  ') "
+                            "when c_mktsegment = 'FURNITURE' then upper(given) else given end"
+                        ),
+                        "last_name": "concat('de la ', digits)",
+                    }
+                ),
+                "contact": _fields(
+                    {
+                        "email": (
+                            f"case when c_acctbal < 0 then concat(' ', {mail}) "
+                            "when c_acctbal >= 9700 then 'duplicated.email@example.com' "
+                            "when c_acctbal >= 9400 "
+                            "then concat('josé.', digits, '@mail.example.com') "
+                            f"when c_mktsegment = 'FURNITURE' then upper({mail}) else {mail} end"
+                        ),
+                        "phone": (
+                            "case c_nationkey "
+                            "when 3 then concat('(912) 345-', substring(digits, 6, 4)) "
+                            "when 4 then concat('051-912-345-', substring(digits, 7, 3)) "
+                            "when 5 then null when 6 then concat('+51-999-', digits, ' ext. 0001') "
+                            "else concat('+51-999-', substring(digits, 4, 6)) end"
+                        ),
+                    }
+                ),
+                "address": _fields(
+                    {"country": "concat(' ', lower(n_name), ' ')", "city": "lower(r_name)"}
+                ),
+                "registration_date": (
+                    "date_format(registered, if(c_nationkey = 7, 'dd/MM/yyyy', 'yyyy-MM-dd'))"
+                ),
+                "segment": "concat(' ', lower(c_mktsegment), ' ')",
+                "status": "'ACTIVE'",
+                "preferences": _fields(
+                    {"marketing_emails": "c_acctbal > 0", "language": "'ES'", "currency": "'USD'"}
+                ),
+                "metadata": _fields({"lifetime_value": "c_acctbal"}),
+            }
+        )
     )
 
 
@@ -149,49 +162,54 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as products."""
-    size = F.col("p_size")
-    retail = F.col("p_retailprice").cast(T.DecimalType(10, 2))
-
-    def share(rate: str) -> Column:
-        cost = F.round(retail * F.lit(rate).cast(T.DecimalType(3, 2)), 2)
-        return cost.cast("double")
-
-    return given(spark, sf_dir, "part").select(
-        _code("PROD", "p_partkey").alias("product_code"),
-        F.when(size != 47, F.col("p_name")).alias("product_name"),
-        F.concat(F.lit(" "), F.lower("p_type")).alias("category"),
-        F.split_part("p_name", F.lit(" "), F.lit(2)).alias("subcategory"),
-        F.upper("p_brand").alias("brand"),
-        F.when(size == 13, F.lit(0.0)).otherwise(F.col("p_retailprice")).alias("unit_price"),
-        F.when(size == 49, F.lit(None).cast("double"))
-        .when(size == 50, share("1.10"))
-        .otherwise(share("0.75"))
-        .alias("cost_price"),
-        F.when(size == 48, F.lit(0.0))
-        .otherwise((size * F.lit("0.1").cast(T.DecimalType(2, 1))).cast("double"))
-        .alias("weight_kg"),
+
+    def cost(rate: str) -> str:
+        return (
+            "cast(round(cast(p_retailprice as decimal(10,2)) * "
+            f"cast({rate} as decimal(3,2)), 2) as double)"
+        )
+
+    return given(spark, sf_dir, "part").selectExpr(
+        *_columns(
+            {
+                "product_code": _code("PROD", "p_partkey"),
+                "product_name": "case when p_size <> 47 then p_name end",
+                "category": "concat(' ', lower(p_type))",
+                "subcategory": "split_part(p_name, ' ', 2)",
+                "brand": "upper(p_brand)",
+                "unit_price": "if(p_size = 13, 0d, p_retailprice)",
+                "cost_price": (
+                    f"case p_size when 49 then null when 50 then {cost('1.10')} "
+                    f"else {cost('0.75')} end"
+                ),
+                "weight_kg": (
+                    "if(p_size = 48, 0d, cast(p_size * cast(0.1 as decimal(2,1)) as double))"
+                ),
+            }
+        )
     )
 
 
 def raw_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    digits = F.split_part("s_name", F.lit("#"), F.lit(2))
-    balance = F.col("s_acctbal")
-    return (
-        given(spark, sf_dir, "supplier")
-        .join(_places(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"), "inner")
-        .select(
-            _code("SUP", "s_suppkey").alias("supplier_id"),
-            F.col("s_name").alias("company_name"),
-            F.concat(F.lit("Contact, "), digits).alias("contact_person"),
-            F.concat(F.lit("contact"), digits, F.lit("@supplier.example.com")).alias("email"),
-            F.concat(F.lit("+51-932-"), F.substring(digits, 4, 6)).alias("phone"),
-            F.col("n_name").alias("country"),
-            F.col("r_name").alias("city"),
-            F.when(balance > 0, balance).alias("rating"),
-            F.date_add(
-                F.lit("1995-01-01").cast("date"), F.floor(F.abs(balance) / 5).cast("int")
-            ).alias("contract_start"),
-            F.when(balance > 5000, "NET_60").otherwise("PREPAID").alias("payment_terms"),
+    named = given(spark, sf_dir, "supplier").selectExpr(
+        "*", "split_part(s_name, '#', 2) as digits"
+    )
+    return _with_places(named, "s_nationkey", spark, sf_dir).selectExpr(
+        *_columns(
+            {
+                "supplier_id": _code("SUP", "s_suppkey"),
+                "company_name": "s_name",
+                "contact_person": "concat('Contact, ', digits)",
+                "email": "concat('contact', digits, '@supplier.example.com')",
+                "phone": "concat('+51-932-', substring(digits, 4, 6))",
+                "country": "n_name",
+                "city": "r_name",
+                "rating": "case when s_acctbal > 0 then s_acctbal end",
+                "contract_start": (
+                    "date_add(date'1995-01-01', cast(floor(abs(s_acctbal) / 5) as int))"
+                ),
+                "payment_terms": "if(s_acctbal > 5000, 'NET_60', 'PREPAID')",
+            }
         )
     )
 
