@@ -21,6 +21,7 @@ from saleswright.operators.keys import dense_ids, surrogate_keys
 from saleswright.schemas import ColumnSpec
 from saleswright.sources import files, sinks
 from saleswright.sources.jdbc import JdbcWarehouse, KeyRange
+from saleswright.storage import materialize
 
 
 @dataclass(frozen=True)
@@ -276,10 +277,15 @@ def run_all(spark: SparkSession, cfg: JobConfig) -> RunReport:
 # --- quick report
 
 
+def _labelled(lines: DataFrame, products: DataFrame, run_ts: Column) -> DataFrame:
+    return modelling.enrich_with_products(modelling.with_rate_total(lines), products, run_ts)
+
+
 def quick_enriched(sales: DataFrame, products: DataFrame, run_ts: Column) -> DataFrame:
     """Complete, distinct sales with total and product labels."""
-    lines = modelling.with_rate_total(dedup.complete_distinct(sales))
-    return modelling.enrich_with_products(lines, dedup.complete_distinct(products), run_ts)
+    return _labelled(
+        dedup.complete_distinct(sales), dedup.complete_distinct(products), run_ts
+    )
 
 
 def quick_report(sales: DataFrame, products: DataFrame, run_ts: Column) -> DataFrame:
@@ -288,12 +294,15 @@ def quick_report(sales: DataFrame, products: DataFrame, run_ts: Column) -> DataF
     def count(df: DataFrame) -> Column:
         return df.agg(F.count(F.lit(1))).scalar()
 
-    figures = metrics.global_metrics(quick_enriched(sales, products, run_ts))
+    # Both are counted and joined, so they are computed once and written.
+    lines = materialize(dedup.complete_distinct(sales), "complete-sales")
+    items = materialize(dedup.complete_distinct(products), "complete-products")
+    figures = metrics.global_metrics(_labelled(lines, items, run_ts))
     return figures.select(
         count(sales).alias("original_sales"),
         count(products).alias("original_products"),
-        count(dedup.complete_distinct(sales)).alias("cleaned_sales"),
-        count(dedup.complete_distinct(products)).alias("cleaned_products"),
+        count(lines).alias("cleaned_sales"),
+        count(items).alias("cleaned_products"),
         F.col("total_transactions").alias("final_records"),
         *figures.columns,
     )

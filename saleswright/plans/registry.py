@@ -27,7 +27,7 @@ from saleswright.operators.keys import surrogate_keys
 from saleswright.plans import jobs, staging
 from saleswright.session import enable_skew_handling
 from saleswright.sources import files, sinks
-from saleswright.storage import scratch_path
+from saleswright.storage import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,12 +88,34 @@ def _product_dim(spark: SparkSession, d: str) -> DataFrame:
     return modelling.product_dimension(_clean_products(spark, d), _run_time())
 
 
-def _fact(spark: SparkSession, d: str) -> DataFrame:
-    return modelling.sales_fact(
-        _clean_sales(spark, d), _customer_dim(spark, d), _product_dim(spark, d), _run_time()
+def _fact(
+    spark: SparkSession,
+    d: str,
+    customers: DataFrame | None = None,
+    products: DataFrame | None = None,
+) -> DataFrame:
+    customers = _customer_dim(spark, d) if customers is None else customers
+    products = _product_dim(spark, d) if products is None else products
+    return modelling.sales_fact(_clean_sales(spark, d), customers, products, _run_time())
+
+
+def _dims_once(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Both dimensions as written tables, for queries that read them repeatedly."""
+    return (
+        materialize(_customer_dim(spark, d), "dim-customers"),
+        materialize(_product_dim(spark, d), "dim-products"),
     )
 
 
+def _stored(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The warehouse fact and product dimension with their ids."""
+    customers, products = _dims_once(spark, d)
+    customer_ids = surrogate_keys(customers, "customer_code", "customer_id")
+    product_ids = surrogate_keys(products, "product_code", "product_id")
+    fact = _fact(spark, d, customers, products)
+    return modelling.warehouse_fact(fact, customer_ids, product_ids), product_ids
+
+
 def _unfiltered_sales(spark: SparkSession, d: str) -> DataFrame:
     """Raw sales with date and amounts computed but nothing rejected."""
     unit_price, quantity, discount = F.col("unit_price"), F.col("quantity"), F.col("discount")
@@ -110,10 +132,12 @@ def _unfiltered_sales(spark: SparkSession, d: str) -> DataFrame:
 def _quality_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     # Clean sales before the fact's inner joins, so that sales of rejected
     # customers and products show as orphans.
+    # Written once, since several checks read each table.
+    customers, products = _dims_once(spark, d)
     return {
-        "dim_customers": _customer_dim(spark, d),
-        "dim_products": _product_dim(spark, d),
-        "fact_sales": _clean_sales(spark, d),
+        "dim_customers": customers,
+        "dim_products": products,
+        "fact_sales": materialize(_clean_sales(spark, d), "clean-sales"),
     }
 
 
@@ -140,7 +164,7 @@ def customer_metrics(spark, d):
 @query
 def customer_recency_window(spark, d):
     sales = _clean_sales(spark, d).select("transaction_id", "customer_code", "sale_date")
-    return metrics.customer_recency(sales, _as_of())
+    return metrics.customer_recency(materialize(sales, "sale-dates"), _as_of())
 
 
 @query
@@ -158,10 +182,10 @@ def top_categories(spark, d):
 
 @query
 def daily_sales_summary(spark, d):
-    customers = surrogate_keys(_customer_dim(spark, d), "customer_code", "customer_id")
-    products = surrogate_keys(_product_dim(spark, d), "product_code", "product_id")
-    fact = modelling.warehouse_fact(_fact(spark, d), customers, products)
-    return metrics.daily_sales_summary(fact, products, dates.date_value(SUMMARY_DAY), _run_time())
+    fact, products = _stored(spark, d)
+    return metrics.daily_sales_summary(
+        materialize(fact, "stored-fact"), products, dates.date_value(SUMMARY_DAY), _run_time()
+    )
 
 
 @query
@@ -396,9 +420,9 @@ def total_fractional_discount(spark, d):
 
 @query
 def dq_completeness(spark, d):
-    tables = _quality_tables(spark, d)
-    return quality.check_completeness(tables["dim_customers"], "dim_customers").unionByName(
-        quality.check_completeness(tables["dim_products"], "dim_products", least=10**12)
+    customers = quality.check_completeness(_customer_dim(spark, d), "dim_customers")
+    return customers.unionByName(
+        quality.check_completeness(_product_dim(spark, d), "dim_products", least=10**12)
     )
 
 
@@ -542,6 +566,8 @@ def defects_products(spark, d):
 
 @query
 def stage_counts(spark, d):
+    sales = materialize(_clean_sales(spark, d), "clean-sales")
+    customers, products = _dims_once(spark, d)
     return profiling.stage_counts(
         {
             "ingest": {
@@ -549,12 +575,8 @@ def stage_counts(spark, d):
                 "customers": staging.raw_customers(spark, d),
                 "products": staging.raw_products(spark, d),
             },
-            "clean": {
-                "sales": _clean_sales(spark, d),
-                "customers": _clean_customers(spark, d),
-                "products": _clean_products(spark, d),
-            },
-            "model": {"fact_sales": _fact(spark, d)},
+            "clean": {"sales": sales, "customers": customers, "products": products},
+            "model": {"fact_sales": modelling.sales_fact(sales, customers, products, _run_time())},
         }
     )
 
@@ -570,8 +592,9 @@ def _registered(df: DataFrame, *, before: str | None = None, since: str | None =
 
 @query
 def surrogate_keys_customers(spark, d):
-    customers = _customer_dim(spark, d).select("customer_code", "customer_segment")
-    known = _registered(_customer_dim(spark, d), before="1998-01-01").select("customer_code")
+    dimension = materialize(_customer_dim(spark, d), "dim-customers")
+    customers = dimension.select("customer_code", "customer_segment")
+    known = _registered(dimension, before="1998-01-01").select("customer_code")
     current = surrogate_keys(known, "customer_code", "customer_id")
     return surrogate_keys(customers, "customer_code", "customer_id", existing=current)
 
@@ -592,14 +615,12 @@ def column_defaults(spark, d):
 
 @query
 def warehouse_fact(spark, d):
-    customers = surrogate_keys(_customer_dim(spark, d), "customer_code", "customer_id")
-    products = surrogate_keys(_product_dim(spark, d), "product_code", "product_id")
-    return modelling.warehouse_fact(_fact(spark, d), customers, products)
+    return _stored(spark, d)[0]
 
 
 @query
 def dim_scd1_merge(spark, d):
-    dimension = _customer_dim(spark, d)
+    dimension = materialize(_customer_dim(spark, d), "dim-customers")
     known = _registered(dimension, before="1998-01-01").withColumns(
         {
             "customer_segment": F.lit("UNKNOWN"),
@@ -616,10 +637,10 @@ def dim_scd1_merge(spark, d):
 @query
 def fact_append_idempotent(spark, d):
     columns = ["transaction_id", "sale_date", "total_amount", "created_at"]
-    fact = _fact(spark, d).select(*columns)
+    fact = materialize(_fact(spark, d).select(*columns), "fact-sales")
     target = fact.where(F.col("sale_date") < "1999-01-01").withColumn("created_at", _earlier())
     batch = fact.where(F.col("sale_date") >= "1998-01-01")
-    once = merging.append_once(target, batch, "transaction_id")
+    once = materialize(merging.append_once(target, batch, "transaction_id"), "appended")
     return merging.append_once(once, batch, "transaction_id")
 
 
@@ -627,6 +648,7 @@ def fact_append_idempotent(spark, d):
 def summary_upsert(spark, d):
     path = scratch_path(spark, "daily-summary")
     days = metrics.daily_sales_summary_all(_fact(spark, d), _run_time())
+    days = materialize(days, "days")
     stale = days.where(F.col("summary_date") < "1999-01-01").withColumns(
         {
             "total_transactions": F.lit(0).cast("long"),
@@ -645,7 +667,8 @@ def insert_if_absent(spark, d):
     arrivals = staging.raw_customers(spark, d).select(
         "customer_code", "first_name", "last_name", "email", "customer_segment"
     )
-    return merging.insert_if_absent(_customer_dim(spark, d), arrivals, "customer_code")
+    dimension = materialize(_customer_dim(spark, d), "dim-customers")
+    return merging.insert_if_absent(dimension, arrivals, "customer_code")
 
 
 # --- sinks

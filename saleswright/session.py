@@ -24,11 +24,33 @@ ENGINE_CONF = {
 }
 
 
+#: Bytes a task should handle: small enough to sort in memory beside its
+#: neighbours, large enough that files and tasks stay few.
+TASK_BYTES = 256 * 1024**2
+#: More shuffle partitions than this burden the driver more than they help.
+MOST_PARTITIONS = 200_000
+
+
+def sizing_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Task sizes for a job that reads about ``input_bytes`` on ``cores`` cores.
+
+    The partition count is where AQE starts from; it merges what turns out small.
+    """
+    wanted = -(-input_bytes // TASK_BYTES)
+    partitions = min(max(wanted, cores), MOST_PARTITIONS)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(TASK_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
+    }
+
+
 def build_session(app_name: str, master: str | None = None, **extra: str) -> SparkSession:
     """Session with :data:`ENGINE_CONF`; ``extra`` wins over it.
 
     ``master`` is left unset on a cluster, where the submitter names it.
-    Keyword names use ``__`` for the dots of a setting.
+    Keyword names use ``__`` for the dots of a setting; :func:`sizing_conf`
+    gives the settings for a job's size.
     """
     builder = SparkSession.builder.appName(app_name)
     if master is not None:

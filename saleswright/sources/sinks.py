@@ -36,7 +36,7 @@ def append_table(df: DataFrame, path: str) -> int:
 
 # Writing many small partitions costs time per file, not per byte, so shuffle
 # partitions are merged only while tiny; large ones are not affected.
-_MANY_FILES = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+_MANY_FILES = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k"}
 
 
 def _partitioned(df: DataFrame, path: str, by: str, mode: str, **options: str) -> int:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from saleswright.functions import dates
 from saleswright.operators import merging, metrics, modelling, quality
+from saleswright.session import sizing_conf
+from saleswright.sources import sinks
 
 HOT_SHARE = 3
 N = 60_000
@@ -114,3 +116,33 @@ def test_hot_key_append(sales):
     known = hot.where("customer_code = 'C1'").select("customer_code").limit(0)
     fresh = merging.rows_to_append(known, hot, "customer_code")
     assert fresh.count() == hot.select("customer_code").distinct().count()
+
+
+def test_partitions_grow_with_the_input():
+    small, large = sizing_conf(10**9, 8), sizing_conf(5 * 10**13, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    partitions = int(large["spark.sql.shuffle.partitions"])
+    assert 5 * 10**13 / partitions <= 256 * 1024**2
+
+
+def test_summary_pruned_to_its_day(spark, tmp_path, capsys):
+    path = str(tmp_path / "fact")
+    fact = spark.range(100).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 10).cast("int")).alias("sale_date"),
+        F.col("id").alias("product_id"),
+        F.col("id").alias("customer_id"),
+        F.lit(Decimal("1.00")).cast("decimal(12,2)").alias("total_amount"),
+    )
+    sinks.write_partitioned(fact, path, "sale_date")
+    products = spark.range(100).select(F.col("id").alias("product_id"), F.lit("Home").alias("category"))
+    day = metrics.daily_sales_summary(
+        spark.read.parquet(path),
+        products,
+        dates.date_value("2024-01-03"),
+        dates.time_value("2024-02-01 00:00:00"),
+    )
+    assert day.first().total_transactions == 10
+    day.explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(sale_date" in plan
+    assert plan.count("FileScan parquet") == plan.count("PartitionFilters: [isnotnull(sale_date")
