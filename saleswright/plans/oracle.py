@@ -933,7 +933,8 @@ FROM clean_sales""",
     sql["dim_scd1_merge"] = _with(
         f"""
 , known AS ({known}),
-fresh AS (SELECT * FROM clean_customers WHERE registration_date >= DATE '1996-01-01'),
+fresh AS (SELECT * FROM clean_customers
+  WHERE registration_date >= DATE '1996-01-01' OR registration_date IS NULL),
 ids AS (SELECT (SELECT coalesce(max(customer_id), 0) FROM known)
     + row_number() OVER (ORDER BY customer_code) AS customer_id, customer_code
   FROM fresh WHERE customer_code NOT IN (SELECT customer_code FROM known))

@@ -585,9 +585,9 @@ def stage_counts(spark, d):
 
 
 def _registered(df: DataFrame, *, before: str | None = None, since: str | None = None) -> DataFrame:
-    """Customers the warehouse knew by a date, or that arrived since one."""
+    """Customers the warehouse knew by a date, or that arrived since one (or undated)."""
     day = F.col("registration_date")
-    return df.where(day < before) if before else df.where(day >= since)
+    return df.where(day < before) if before else df.where((day >= since) | day.isNull())
 
 
 @query
