@@ -137,7 +137,18 @@ def _quality_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return {
         "dim_customers": customers,
         "dim_products": products,
-        "fact_sales": materialize(_clean_sales(spark, d), "clean-sales"),
+        "fact_sales": materialize(
+            _clean_sales(spark, d).select(
+                "transaction_id",
+                "customer_code",
+                "product_code",
+                "sale_date",
+                "quantity",
+                "unit_price",
+                "total_amount",
+            ),
+            "clean-sales",
+        ),
     }
 
 
@@ -183,8 +194,9 @@ def top_categories(spark, d):
 @query
 def daily_sales_summary(spark, d):
     fact, products = _stored(spark, d)
+    lines = fact.select("sale_date", "customer_id", "product_id", "total_amount")
     return metrics.daily_sales_summary(
-        materialize(fact, "stored-fact"), products, dates.date_value(SUMMARY_DAY), _run_time()
+        materialize(lines, "stored-fact"), products, dates.date_value(SUMMARY_DAY), _run_time()
     )
 
 

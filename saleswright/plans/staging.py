@@ -8,13 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saleswright.operators.ingest import flatten_customers
 from saleswright.sources.files import spread
 
 
+_known_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A given table; its schema is looked up once per application."""
+    path = f"{sf_dir}/{table}.parquet"
+    seen = (spark.sparkContext.applicationId, path)
+    if seen not in _known_schemas:
+        _known_schemas[seen] = spark.read.parquet(path).schema
+    return spark.read.schema(_known_schemas[seen]).parquet(path)
 
 
 def _code(prefix: str, number: str) -> str:
