@@ -290,14 +290,19 @@ def quick_enriched(sales: DataFrame, products: DataFrame, run_ts: Column) -> Dat
 
 def quick_report(sales: DataFrame, products: DataFrame, run_ts: Column) -> DataFrame:
     """Counts before and after cleaning and the overall figures, in one row."""
+    # Both are counted and joined, so they are computed once and written.
+    lines = materialize(dedup.complete_distinct(sales), "complete-sales")
+    items = materialize(dedup.complete_distinct(products), "complete-products")
+    return _report_row(sales, products, lines, items, _labelled(lines, items, run_ts))
+
 
+def _report_row(
+    sales: DataFrame, products: DataFrame, lines: DataFrame, items: DataFrame, labelled: DataFrame
+) -> DataFrame:
     def count(df: DataFrame) -> Column:
         return df.agg(F.count(F.lit(1))).scalar()
 
-    # Both are counted and joined, so they are computed once and written.
-    lines = materialize(dedup.complete_distinct(sales), "complete-sales")
-    items = materialize(dedup.complete_distinct(products), "complete-products")
-    figures = metrics.global_metrics(_labelled(lines, items, run_ts))
+    figures = metrics.global_metrics(labelled)
     return figures.select(
         count(sales).alias("original_sales"),
         count(products).alias("original_products"),
@@ -306,3 +311,26 @@ def quick_report(sales: DataFrame, products: DataFrame, run_ts: Column) -> DataF
         F.col("total_transactions").alias("final_records"),
         *figures.columns,
     )
+
+
+def run_quick_report(
+    spark: SparkSession, sales_csv: str, products_csv: str, out: str, run_ts: datetime | str
+) -> DataFrame:
+    """The short way from two CSV files, types inferred, to labelled lines and figures.
+
+    Writes the lines as CSV and the report and top categories as JSON below
+    ``out``; returns the report.
+    """
+    sales = files.read_csv_inferred(spark, sales_csv)
+    products = files.read_csv_inferred(spark, products_csv)
+    lines = materialize(dedup.complete_distinct(sales), "complete-sales")
+    items = materialize(dedup.complete_distinct(products), "complete-products")
+    labelled = _labelled(lines, items, dates.time_value(run_ts))
+    folder = out.rstrip("/")
+    sinks.write_csv(labelled, f"{folder}/sales_processed")
+    report = materialize(
+        _report_row(sales, products, lines, items, labelled), "quick-report"
+    )
+    sinks.write_json(report, f"{folder}/business_metrics")
+    sinks.write_json(metrics.top_categories(labelled), f"{folder}/top_categories")
+    return report

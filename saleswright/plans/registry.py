@@ -365,7 +365,7 @@ def scan_csv_infer(spark, d):
 @query
 def scan_json_customers(spark, d):
     path = scratch_path(spark, "customers-json")
-    staging.write_document_arrays(staging.customer_documents(spark, d), "customer_id", path)
+    staging.write_document_arrays(staging.customer_documents(spark, d), path)
     return ingest.flatten_customers(files.read_customers_json(spark, path))
 
 
@@ -547,7 +547,7 @@ def profile_sources(spark, d):
     sales = _as_csv(staging.raw_sales_wide(spark, d), "sales-csv")
     products = _as_csv(staging.raw_products(spark, d), "products-csv")
     documents = scratch_path(spark, "customers-json")
-    staging.write_document_arrays(staging.customer_documents(spark, d), "customer_id", documents)
+    staging.write_document_arrays(staging.customer_documents(spark, d), documents)
     return profiling.profile_sources(
         spark,
         {

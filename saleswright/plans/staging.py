@@ -6,12 +6,13 @@ given to rows by the values they carry. Every row of the source tables is kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswright.operators.ingest import flatten_customers
 from saleswright.sources.files import spread
+from saleswright.storage import materialize
 
 
 _known_schemas: dict[tuple[str, str], T.StructType] = {}
@@ -223,30 +224,31 @@ def raw_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_document_arrays(documents: DataFrame, key: str, path: str, per_file: int = 20_000) -> None:
+def write_document_arrays(documents: DataFrame, path: str, per_file: int = 20_000) -> None:
     """Write documents the way they are delivered: files that hold one JSON array.
 
-    The number of files grows with the data. Each line holds one element; the
-    first opens the array and a last line closes it.
+    The number of files grows with the data, and rows are dealt out evenly
+    whatever they hold. Each line holds one element; the first opens the array
+    and a last line closes it.
     """
-    parts = max(1, -(-documents.count() // per_file))
-    lines = documents.select(
-        F.col(key).alias("key"),
-        F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("part"),
+    files = max(1, -(-documents.count() // per_file))
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    dealt = documents.repartition(files).select(
+        F.spark_partition_id().alias("file"),
+        place.alias("place"),
         F.to_json(F.struct(*documents.columns)).alias("json"),
     )
-    place = Window.partitionBy("part").orderBy(F.col("key").asc_nulls_first(), "json")
-    elements = lines.withColumn("place", F.row_number().over(place)).select(
-        "part",
-        "place",
-        F.concat(F.when(F.col("place") == 1, "[").otherwise(","), F.col("json")).alias("value"),
+    dealt = materialize(dealt, "documents")
+    opener = F.when(F.col("place") == 0, "[").otherwise(",")
+    elements = dealt.withColumn("value", F.concat(opener, "json")).drop("json")
+    closers = dealt.groupBy("file").agg(
+        (F.max("place") + 1).alias("place"), F.lit("]").alias("value")
     )
-    last = elements.groupBy("part").agg((F.max("place") + 1).alias("place"), F.lit("]").alias("value"))
     (
-        elements.unionByName(last)
-        .repartition(parts, "part")
-        .sortWithinPartitions("part", "place")
-        .select("part", "value")
-        .write.partitionBy("part")
+        elements.unionByName(closers)
+        .repartition(files, "file")
+        .sortWithinPartitions("file", "place")
+        .select("file", "value")
+        .write.partitionBy("file")
         .text(path)
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from saleswright.functions import dates
 from saleswright.operators import merging, quality
-from saleswright.plans import jobs
+from saleswright.plans import jobs, staging
 from saleswright.sources import files, sinks
 from saleswright.sources.jdbc import JdbcWarehouse, KeyRange
 
@@ -112,6 +112,26 @@ def test_missing_source_raises(spark, sources):
         jobs.run_all(spark, config(sources, "run-1", "2024-08-01 06:00:00"))
 
 
+def test_quick_report_from_files(spark, sources, tmp_path):
+    out = tmp_path / "quick"
+    report = jobs.run_quick_report(
+        spark, sources["sales_csv"], sources["products_csv"], str(out), "2024-08-01 06:00:00"
+    ).first()
+    # Complete rows only: without S2's second copy, S7 and the sale without id.
+    assert (report.original_sales, report.cleaned_sales, report.final_records) == (12, 9, 9)
+    assert (report.original_products, report.cleaned_products) == (6, 5)
+    complete = [r for r in SALES if None not in r]
+    amounts = [Decimal(str(r[5])) * r[4] * (1 - Decimal(str(r[6]))) for r in complete]
+    assert report.total_sales == sum(amounts)
+    assert report.max_sale == max(amounts)
+    written = spark.read.option("header", True).csv(str(out / "sales_processed"))
+    assert written.count() == 9 and "category" in written.columns
+    saved = spark.read.json(str(out / "business_metrics")).first()
+    assert saved.total_transactions == 9
+    names = [r.category for r in spark.read.json(str(out / "top_categories")).collect()]
+    assert set(names) == {"Non-Fiction", "home"}
+
+
 def test_wide_files_load_by_position(spark, sources):
     sales = files.read_sales_csv(spark, sources["sales_csv"])
     assert sales.columns == SALES_HEADER[:8]
@@ -132,6 +152,19 @@ def test_customer_documents_per_line(spark, tmp_path):
     assert inferred.select("contact.email").count() == 4
 
 
+def test_array_files_hold_every_document(spark, tmp_path):
+    documents = spark.range(1000).select(
+        F.when(F.col("id") % 3 == 0, "C0").otherwise(F.col("id").cast("string")).alias("customer_id"),
+        F.struct(F.lit("a\n,]b").alias("first_name")).alias("personal_info"),
+    )
+    path = str(tmp_path / "arrays")
+    staging.write_document_arrays(documents, path, per_file=150)
+    assert len(list((tmp_path / "arrays").glob("file=*/*.txt"))) == 7
+    back = files.read_customers_json(spark, path).select("customer_id", "personal_info.first_name")
+    wanted = documents.select("customer_id", "personal_info.first_name")
+    assert back.exceptAll(wanted).count() == 0 and back.count() == 1000
+
+
 def test_single_document_counts_once(spark, tmp_path):
     path = tmp_path / "one.json"
     path.write_text(json.dumps(document(CUSTOMERS[0])), encoding="utf-8")
