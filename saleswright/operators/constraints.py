@@ -58,3 +58,27 @@ def overflowing_decimals(df: DataFrame, table: str, specs: Iterable[ColumnSpec])
         exact,
         lambda s: F.col(s.name).isNotNull() & F.col(s.name).try_cast(s.type).isNull(),
     )
+
+
+# Names of the checks over whole tables.
+NOT_NULL, TEXT_LENGTH, DECIMAL_RANGE = "not_null", "text_length", "decimal_range"
+
+
+def as_checks(violations: DataFrame, check: str) -> DataFrame:
+    """Check rows, one per table, from counts per column."""
+    bad = F.col("n") > 0
+    found = F.concat(F.lit("Found "), F.col("n").cast("string"), F.lit(f" violations of {check}"))
+    return (
+        violations.groupBy("table_name")
+        .agg(F.sum("violations").alias("n"))
+        .select(
+            "table_name",
+            F.lit(check).alias("check_name"),
+            F.when(bad, "FAIL").otherwise("PASS").alias("check_result"),
+            F.when(bad, found)
+            .otherwise(F.lit(f"No violations of {check}"))
+            .alias("check_details"),
+            F.lit(0).cast("long").alias("records_processed"),
+            F.col("n").alias("records_failed"),
+        )
+    )

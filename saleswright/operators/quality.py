@@ -34,7 +34,13 @@ DATE_OK = "No future sales dates found"
 DATE_BAD = "Found {n} sales with future dates"
 
 #: Checks whose failure stops the run.
-CRITICAL_CHECKS = ("completeness", "uniqueness", "customer_integrity", "product_integrity")
+CRITICAL_CHECKS = (
+    "completeness",
+    "uniqueness",
+    "customer_integrity",
+    "product_integrity",
+    "not_null",
+)
 
 CHECK_SCHEMA = (
     "table_name string, check_name string, check_result string, check_details string, "

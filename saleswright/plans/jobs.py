@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,16 @@ from pyspark.sql import functions as F
 
 from saleswright import schemas
 from saleswright.functions import dates
-from saleswright.operators import cleaning, dedup, ingest, merging, metrics, modelling, quality
+from saleswright.operators import (
+    cleaning,
+    constraints,
+    dedup,
+    ingest,
+    merging,
+    metrics,
+    modelling,
+    quality,
+)
 from saleswright.operators.keys import dense_ids, surrogate_keys
 from saleswright.schemas import ColumnSpec
 from saleswright.sources import files, sinks
@@ -214,10 +224,40 @@ def _table_or_empty(spark: SparkSession, cfg: JobConfig, name: str) -> DataFrame
     return warehouse_table(spark, cfg, name)
 
 
+def _constraint_checks(spark: SparkSession, cfg: JobConfig, stored: Mapping) -> DataFrame:
+    """The declared constraints of the three tables.
+
+    Required columns are looked at in the warehouse. Lengths and decimals are
+    looked at in the lake, as values that do not fit are NULL after the load.
+    """
+    parts = []
+    for name, table in stored.items():
+        specs = schemas.WAREHOUSE[name]
+        lake = open_if_present(spark, cfg.table(name))
+        lake = table if lake is None else lake
+        parts += [
+            constraints.as_checks(
+                constraints.missing_values(table, name, specs), constraints.NOT_NULL
+            ),
+            constraints.as_checks(
+                constraints.overlong_texts(lake, name, specs), constraints.TEXT_LENGTH
+            ),
+            constraints.as_checks(
+                constraints.overflowing_decimals(lake, name, specs), constraints.DECIMAL_RANGE
+            ),
+        ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run_quality(spark: SparkSession, cfg: JobConfig) -> DataFrame:
-    """Check the warehouse tables, append the outcome to the log, return the tallies."""
+    """Check the warehouse tables, append the outcome to the log, return the tallies.
+
+    The eleven checks of the suite and those of the declared constraints.
+    """
     tables = {name: _table_or_empty(spark, cfg, name) for name in quality.SUITE}
-    checks = quality.run_all_checks(spark, tables, cfg.today)
+    checks = quality.run_all_checks(spark, tables, cfg.today).unionByName(
+        _constraint_checks(spark, cfg, tables)
+    )
     log = cfg.table("warehouse/data_quality_logs")
     sinks.append_table(quality.log_rows(checks, cfg.run_id, cfg.run_time), log)
     written = files.read_table(spark, log).where(F.col("pipeline_run_id") == cfg.run_id)

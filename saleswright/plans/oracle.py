@@ -904,7 +904,7 @@ GROUP BY stage""",
     )
 
     # warehouse
-    sql["surrogate_keys_customers"] = _with(
+    sql["surrogate_keys"] = _with(
         f"""
 , known AS ({known})
 SELECT customer_id, customer_code, customer_segment FROM known

@@ -17,13 +17,13 @@ from saleswright.operators import (
     constraints,
     dedup,
     ingest,
+    keys,
     merging,
     metrics,
     modelling,
     profiling,
     quality,
 )
-from saleswright.operators.keys import surrogate_keys
 from saleswright.plans import jobs, staging
 from saleswright.session import enable_skew_handling
 from saleswright.sources import files, sinks
@@ -110,8 +110,8 @@ def _dims_once(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 def _stored(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """The warehouse fact and product dimension with their ids."""
     customers, products = _dims_once(spark, d)
-    customer_ids = surrogate_keys(customers, "customer_code", "customer_id")
-    product_ids = surrogate_keys(products, "product_code", "product_id")
+    customer_ids = keys.surrogate_keys(customers, "customer_code", "customer_id")
+    product_ids = keys.surrogate_keys(products, "product_code", "product_id")
     fact = _fact(spark, d, customers, products)
     return modelling.warehouse_fact(fact, customer_ids, product_ids), product_ids
 
@@ -603,18 +603,18 @@ def _registered(df: DataFrame, *, before: str | None = None, since: str | None =
 
 
 @query
-def surrogate_keys_customers(spark, d):
+def surrogate_keys(spark, d):
     dimension = materialize(_customer_dim(spark, d), "dim-customers")
     customers = dimension.select("customer_code", "customer_segment")
     known = _registered(dimension, before="1998-01-01").select("customer_code")
-    current = surrogate_keys(known, "customer_code", "customer_id")
-    return surrogate_keys(customers, "customer_code", "customer_id", existing=current)
+    current = keys.surrogate_keys(known, "customer_code", "customer_id")
+    return keys.surrogate_keys(customers, "customer_code", "customer_id", existing=current)
 
 
 @query
 def surrogate_keys_sales(spark, d):
     sales = _clean_sales(spark, d).select("transaction_id", "sale_date")
-    return surrogate_keys(sales, "transaction_id", "sale_id")
+    return keys.surrogate_keys(sales, "transaction_id", "sale_id")
 
 
 @query
@@ -641,7 +641,7 @@ def dim_scd1_merge(spark, d):
             "updated_at": _earlier(),
         }
     )
-    current = surrogate_keys(known, "customer_code", "customer_id")
+    current = keys.surrogate_keys(known, "customer_code", "customer_id")
     incoming = _registered(dimension, since="1996-01-01")
     return merging.merge_dimension(current, incoming, "customer_code", "customer_id")
 

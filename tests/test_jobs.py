@@ -72,7 +72,9 @@ def test_whole_run_and_rerun(spark, sources):
     assert report.counts["load"] == {"dim_customers": 3, "dim_products": 2, "fact_sales": 4}
     assert report.counts["summary"] == {"daily_sales_summary": 1}
     # The negative total fails the price rule, which is not critical.
-    assert (report.quality["total_checks"], report.quality["failed_checks"]) == (11, 1)
+    # Eleven checks, and NOT NULL, lengths and decimals of three tables (the
+    # customers have no decimals).
+    assert (report.quality["total_checks"], report.quality["failed_checks"]) == (19, 1)
     assert report.quality["alert_level"] == "NONE"
 
     raw = files.read_table(spark, first.table("raw_sales")).first()
@@ -95,11 +97,23 @@ def test_whole_run_and_rerun(spark, sources):
     assert {r.updated_at.day for r in customers.collect()} == {2}
     assert files.read_table(spark, second.table("warehouse/fact_sales")).count() == 4
     log = files.read_table(spark, second.table("warehouse/data_quality_logs"))
-    assert log.groupBy("pipeline_run_id").count().collect()[0]["count"] == 11
+    assert log.groupBy("pipeline_run_id").count().collect()[0]["count"] == 19
     days = files.read_table(spark, second.table("warehouse/daily_sales_summary"))
     assert [r.created_at.day for r in days.collect()] == [1]
 
 
+def test_a_price_too_wide_for_the_warehouse_closes_the_gate(spark, sources, tmp_path):
+    wide = ("S1", "C1", "P1", "2024-03-01", 1, 5e9, 0.0, "CASH", "PEN", "web", "north")
+    sources["sales_csv"] = write_csv(tmp_path / "wide.csv", SALES_HEADER, [wide])
+    cfg = config(sources, "run-1", "2024-08-01 06:00:00")
+    with pytest.raises(quality.QualityGateError):
+        jobs.run_all(spark, cfg)
+    log = files.read_table(spark, cfg.table("warehouse/data_quality_logs"))
+    failed = {(r.table_name, r.check_name): r.records_failed for r in log.where("records_failed > 0").collect()}
+    # Price and tax exceed their columns; the price is also required.
+    assert failed == {("fact_sales", "decimal_range"): 2, ("fact_sales", "not_null"): 1}
+
+
 def test_failed_gate_stops_the_run(spark, sources, tmp_path):
     sources["sales_csv"] = write_csv(tmp_path / "none.csv", SALES_HEADER, [])
     with pytest.raises(quality.QualityGateError):
