@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saleswright.llm import exact_dedup, simhash
+from saleswright.llm import decontaminate, exact_dedup, simhash, token_counts, unigram
 from saleswright.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {
+    "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_sentencepiece": unigram.op3_sentencepiece,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op8_token_counts": token_counts.op8_token_counts,
     "op10_simhash": simhash.op10_simhash,
 }
 
@@ -32,4 +35,7 @@ def all_queries() -> dict[str, Query]:
 
 def oracle_queries() -> dict[str, str]:
     """SQL for the queries that SQL can express."""
-    return {"op5_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {
+        "op2_decontaminate": decontaminate.ORACLE_SQL,
+        "op5_exact_dedup": exact_dedup.ORACLE_SQL,
+    }
