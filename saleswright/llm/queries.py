@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saleswright.llm import decontaminate, exact_dedup, simhash, token_counts, unigram
+from saleswright.llm import decontaminate, exact_dedup, simhash, token_counts, token_files, unigram
 from saleswright.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {
+    "op1_token_files": token_files.op1_token_files,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_sentencepiece": unigram.op3_sentencepiece,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
@@ -36,6 +37,7 @@ def all_queries() -> dict[str, Query]:
 def oracle_queries() -> dict[str, str]:
     """SQL for the queries that SQL can express."""
     return {
-        "op2_decontaminate": decontaminate.ORACLE_SQL,
+        "op1_token_files": token_files.op1_token_files,
+    "op2_decontaminate": decontaminate.ORACLE_SQL,
         "op5_exact_dedup": exact_dedup.ORACLE_SQL,
     }
