@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saleswright.llm import decontaminate, exact_dedup, simhash, token_counts, token_files, unigram
+from saleswright.llm import (
+    decontaminate,
+    exact_dedup,
+    langid,
+    quality,
+    simhash,
+    token_counts,
+    token_files,
+    unigram,
+)
 from saleswright.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +25,8 @@ _QUERIES: dict[str, Query] = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_sentencepiece": unigram.op3_sentencepiece,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_langid": langid.op6_langid,
+    "op7_quality": quality.op7_quality,
     "op8_token_counts": token_counts.op8_token_counts,
     "op10_simhash": simhash.op10_simhash,
 }
