@@ -10,6 +10,7 @@ from saleswright.llm import (
     decontaminate,
     exact_dedup,
     langid,
+    lm,
     quality,
     simhash,
     token_counts,
@@ -28,6 +29,7 @@ _QUERIES: dict[str, Query] = {
     "op6_langid": langid.op6_langid,
     "op7_quality": quality.op7_quality,
     "op8_token_counts": token_counts.op8_token_counts,
+    "op9_lm": lm.op9_lm,
     "op10_simhash": simhash.op10_simhash,
 }
 
