@@ -12,6 +12,7 @@ from saleswright.llm import (
     langid,
     lm,
     quality,
+    repeats,
     simhash,
     token_counts,
     token_files,
@@ -25,6 +26,7 @@ _QUERIES: dict[str, Query] = {
     "op1_token_files": token_files.op1_token_files,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_sentencepiece": unigram.op3_sentencepiece,
+    "op4_repeats": repeats.op4_repeats,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_langid": langid.op6_langid,
     "op7_quality": quality.op7_quality,
@@ -52,5 +54,6 @@ def oracle_queries() -> dict[str, str]:
     return {
         "op1_token_files": token_files.op1_token_files,
     "op2_decontaminate": decontaminate.ORACLE_SQL,
-        "op5_exact_dedup": exact_dedup.ORACLE_SQL,
+        "op4_repeats": repeats.op4_repeats,
+    "op5_exact_dedup": exact_dedup.ORACLE_SQL,
     }
