@@ -47,6 +47,17 @@ def crc_rest(id_col: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def carried(rows: DataFrame, *own: Column | str) -> DataFrame:
+    """The columns in ``_row`` and an operator's ``own``.
+
+    A carried column with the name of one of ``own`` gives way to it.
+    """
+    named = rows.select(*own).columns
+    taken = {name.lower() for name in named}
+    kept = [f.name for f in rows.schema["_row"].dataType if f.name.lower() not in taken]
+    return rows.select(*[F.col("_row").getField(c).alias(c) for c in kept], *own)
+
+
 def attach(
     rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str, total: int
 ) -> DataFrame:

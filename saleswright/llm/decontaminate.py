@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from saleswright.llm.common import table, text_bytes
+from saleswright.llm.common import carried, table, text_bytes
 from saleswright.storage import materialize
 
 WINDOW_WORDS = 13
@@ -211,8 +211,8 @@ def contamination(
         some = sorted(items.filter(dealt == part).collect(), key=repr)
         rows = _scan_with(rows, [(x.item, bytes(x.text)) for x in some])
     n_hit = F.aggregate("_found", F.lit(0).cast("long"), lambda n, x: n + x.hi - x.lo)
-    return rows.withColumn("_hit", n_hit).select(
-        "_row.*",
+    return carried(
+        rows.withColumn("_hit", n_hit),
         F.col("_n").alias("n_words"),
         F.col("_hit").alias("n_hit"),
         F.size("_items").cast("long").alias("n_items"),

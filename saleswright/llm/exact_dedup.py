@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saleswright.llm.common import BROADCAST_ROWS, attach, table
+from saleswright.llm.common import BROADCAST_ROWS, attach, carried, table
 from saleswright.storage import materialize
 
 #: Characters that the prefix hash covers.
@@ -88,8 +88,8 @@ def exact_groups(
     )
     told = attach(hashed, groups, ["_hash"], "_n", hashed.count())
     alone = F.col("_n").isNull()
-    return told.select(
-        "_row.*",
+    return carried(
+        told,
         F.when(alone, F.col("_id")).otherwise(F.col("_keep._id")).alias("keep_id"),
         F.coalesce("_n", F.lit(1)).cast("long").alias("group_size"),
         (alone | (F.col("_keep._at") == F.col("_at"))).alias("kept"),

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from saleswright.llm.common import crc_rest, table, text_bytes
+from saleswright.llm.common import carried, crc_rest, table, text_bytes
 
 BUCKETS = 1 << 13
 GRAMS = (1, 2, 3)
@@ -192,7 +192,7 @@ def predict_language(
                     schema.names,
                 )
 
-    return rows.mapInArrow(run, schema).select("_row.*", "lang_pred", "score")
+    return carried(rows.mapInArrow(run, schema), "lang_pred", "score")
 
 
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

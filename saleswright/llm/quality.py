@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from saleswright.llm.common import crc_rest, table, text_bytes
+from saleswright.llm.common import carried, crc_rest, table, text_bytes
 from saleswright.llm.pieces import Memo
 
 BUCKETS = 1 << 15
@@ -190,7 +190,7 @@ def quality_scores(
                 [batch.column("_row"), pa.array(scores, pa.float64())], schema.names
             )
 
-    return rows.mapInArrow(run, schema).select("_row.*", "score")
+    return carried(rows.mapInArrow(run, schema), "score")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from saleswright.llm.common import BROADCAST_ROWS, attach, table, text_bytes
+from saleswright.llm.common import BROADCAST_ROWS, attach, carried, table, text_bytes
 from saleswright.llm.run_index import build
 from saleswright.storage import materialize
 
@@ -381,7 +381,7 @@ def repeats(
     removed = docs.sparkSession.createDataFrame([], "removed array<struct<lo: long, hi: long>>").schema
     out = StructType([*out, *removed])
     names = out.names
-    return rows.mapInArrow(lambda batches: _marked(batches, names), out).select("_row.*", *names[1:])
+    return carried(rows.mapInArrow(lambda batches: _marked(batches, names), out), *names[1:])
 
 
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 from math import comb
 
@@ -11,8 +11,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from saleswright.llm.common import attach, table, text_bytes
+from saleswright.llm.common import attach, carried, table, text_bytes
 from saleswright.llm.components import connected_components
 from saleswright.storage import materialize
 
@@ -50,9 +51,10 @@ def fingerprint(data: bytes, size: int = SHINGLE_WORDS) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [fingerprint(x.as_py()) for x in batch.column(1)]
+        found = [fingerprint(x.as_py()) for x in batch.column("_text")]
         prints = pa.array(np.array(found, np.uint64).view(np.int64))
-        yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["doc_id", "fp"])
+        columns = [batch.column("_id"), batch.column("_row"), prints]
+        yield pa.RecordBatch.from_arrays(columns, ["_id", "_row", "fp"])
 
 
 def _slices(blocks: int) -> list[tuple[int, int]]:
@@ -146,7 +148,12 @@ def links(prints: DataFrame) -> DataFrame:
     return joined.union(stars.filter("u <> v"))
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_groups(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: Sequence[str] = ("doc_id",),
+) -> DataFrame:
     """Fingerprint and component of every row.
 
     Words are runs of anything but ASCII white space, A-Z in lower case;
@@ -154,28 +161,35 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     one shingle, one without words (or null) has fingerprint zero and is linked
     like any other. Rows whose fingerprints differ in at most ``MOST_BITS``
     bits are linked, and ``component_id`` is the smallest id reachable (null
-    ids are passed over; null if there are only such). Equal fingerprints are
-    merged before anything is joined, so copies cost nothing.
+    ids are passed over; null if there are only such). One row of a component
+    stays: that with this id, of several any one. Equal fingerprints are merged
+    before anything is joined, so copies cost nothing.
 
-    Returns the id, ``fp`` (long) and ``component_id``.
+    Returns the ``carry`` columns, ``fp`` (long), ``component_id``, ``stays``.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(text_col).alias("text"))
-    schema = f"doc_id {dict(docs.dtypes)[id_col]}, fp long"
-    marked = materialize(rows.mapInArrow(_fingerprints, schema), "fingerprints")
+    rows = docs.select(
+        F.col(id_col).alias("_id"), F.struct(*carry).alias("_row"), text_bytes(text_col).alias("_text")
+    )
+    schema = StructType([rows.schema["_id"], rows.schema["_row"], StructField("fp", LongType())])
+    marked = rows.mapInArrow(_fingerprints, schema)
+    marked = materialize(marked.withColumn("_at", F.monotonically_increasing_id()), "fingerprints")
+    least = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_at").alias("at"))
     prints = materialize(
-        marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size")),
-        "prints",
+        marked.groupBy("fp").agg(F.min(least).alias("least"), F.count(F.lit(1)).alias("size")), "prints"
     )
     roots = connected_components(links(prints.select("fp")))
     rooted = prints.join(roots, prints.fp == roots.node, "left").select(
         "fp", "least", "size", F.coalesce("root", "fp").alias("root")
     )
     rooted = materialize(rooted, "rooted")
-    linked = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    linked = rooted.groupBy("root").agg(F.min("least").alias("first"), F.count(F.lit(1)).alias("n"))
     named = attach(rooted, materialize(linked, "linked"), ["root"], "n", rooted.count())
-    named = materialize(named.select("fp", "size", "component_id"), "named")
-    return attach(marked, named, ["fp"], "size", marked.count()).select(
-        F.col("doc_id").alias(id_col), "fp", "component_id"
+    named = materialize(named.select("fp", "size", "first"), "named")
+    return carried(
+        attach(marked, named, ["fp"], "size", marked.count()),
+        "fp",
+        F.col("first.id").alias("component_id"),
+        (F.col("first.at") == F.col("_at")).alias("stays"),
     )
 
 

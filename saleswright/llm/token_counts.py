@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from saleswright.llm.common import table
+from saleswright.llm.common import carried, table
 from saleswright.llm.pieces import MARKER, Memo, Vocabulary, load_vocabulary, units
 from saleswright.llm.unigram import MODEL
 
@@ -109,7 +109,7 @@ def count_tokens(
                 schema.names,
             )
 
-    return rows.mapInArrow(run, schema).select("_row.*", "n_tokens", "score")
+    return carried(rows.mapInArrow(run, schema), "n_tokens", "score")
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

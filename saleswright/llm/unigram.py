@@ -21,7 +21,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from saleswright.llm.common import table
+from saleswright.llm.common import carried, table
 from saleswright.llm.pieces import MARKER, Memo, Vocabulary, load_vocabulary, units
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -233,9 +233,7 @@ def encode(
         "ids_crc32": F.col("ids_crc32").cast("long"),
         "round_trip": F.col("round_trip").cast("boolean"),
     }
-    return found.select(
-        "_row.*", *[own.get(c, F.col(c)).alias(c) for c in schema.names if c != "_row"]
-    )
+    return carried(found, *[own.get(c, F.col(c)).alias(c) for c in schema.names[1:]])
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
