@@ -28,6 +28,8 @@ GRAM_BYTES = (2, 3, 4)
 #: Labelled rows the classifier is fitted on; documented bound.
 FIT_ROWS = 6000
 EPOCHS = 12
+#: Steps at least; few rows are gone over more often than ``EPOCHS`` times.
+LEAST_STEPS = 3000
 RATE = 0.5
 BATCH = 16
 SEED = 7
@@ -69,9 +71,11 @@ def fit(bags: Sequence[tuple[np.ndarray, np.ndarray]], labels: Sequence[int]) ->
     out = np.zeros((SIZE, 2), np.float32)
     truth = np.eye(2, dtype=np.float32)[np.asarray(labels, int)]
     odds = np.log((truth.sum(axis=0) + 1) / (len(truth) + 2)).astype(np.float32)
-    steps = EPOCHS * -(-len(bags) // BATCH)
+    in_epoch = -(-len(bags) // BATCH)
+    epochs = max(EPOCHS, -(-LEAST_STEPS // in_epoch))
+    steps = epochs * in_epoch
     step = 0
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         order = rng.permutation(len(bags))
         for at in range(0, len(order), BATCH):
             some = order[at : at + BATCH]

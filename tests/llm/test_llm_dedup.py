@@ -1,0 +1,161 @@
+"""Exact groups, near groups and components against brute force."""
+
+import random
+from hashlib import sha256
+
+import pytest
+import xxhash
+
+from saleswright.llm import exact_dedup, simhash
+from saleswright.llm.components import connected_components
+from saleswright.llm.exact_dedup import exact_groups
+from saleswright.llm.simhash import fingerprint, links, near_groups
+
+ROWS = [
+    (1, "same"), (2, "same"), (None, "same"), (3, ""), (4, None), (None, None), (5, "Same"),
+    (6, "x" * 70 + "a"), (7, "x" * 70 + "b"), (8, "x" * 70 + "a"), (9, "lone"), (9, "lone"),
+    (9, "lone"), (10, "y" * 300_000), (11, "y" * 300_000), (None, "only null"), (None, "only null"),
+]
+
+
+@pytest.mark.parametrize("bound", [500_000, 0])
+def test_exact_groups(docs, monkeypatch, bound):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", bound)
+    found = exact_groups(docs(ROWS), carry=("doc_id", "text")).collect()
+    assert len(found) == len(ROWS)
+    by_text = {}
+    for row in found:
+        by_text.setdefault(row.text or "", []).append(row)
+    for text, rows in by_text.items():
+        ids = [i for i, t in ROWS if (t or "") == text]
+        largest = max((i for i in ids if i is not None), default=None)
+        assert {r.group_size for r in rows} == {len(ids)}
+        assert {r.keep_id for r in rows} == {largest}
+        assert [r.doc_id for r in rows if r.kept] == [largest]
+
+
+def test_exact_hot_group(spark):
+    """A third of the rows in one group is dealt out and still one group."""
+    rows = spark.range(6000).selectExpr("id doc_id", "if(id % 3 = 0, 'hot', 't' || id % 2500) text")
+    found = exact_groups(rows)
+    assert found.filter("kept").count() == rows.select("text").distinct().count()
+    assert found.filter("group_size = 2000 and keep_id = 5997").count() == 2000
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return []
+    if len(words) < 4:
+        return [b" ".join(words)]
+    return [b" ".join(words[i : i + 4]) for i in range(len(words) - 3)]
+
+
+def by_hand(text):
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles(text)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+TEXTS = ["", None, "One", "one two THREE four", "a b c d e f", "a b c d " * 5, "Ä ö\tü\n ß x", "w " * 30_000]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_fingerprint(text):
+    assert fingerprint((text or "").encode()) == by_hand(text)
+
+
+def test_fingerprint_in_chunks(monkeypatch):
+    text = " ".join(str(k % 97) for k in range(500))
+    whole = fingerprint(text.encode())
+    monkeypatch.setattr(simhash, "_CHUNK", 7)
+    assert fingerprint(text.encode()) == whole == by_hand(text)
+
+
+def union(pairs, nodes):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    chain = [(k, k + 1) for k in range(1000, 1120)]
+    star = [(7000 + k, 6999) for k in range(300)]
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + chain + star
+    edges += edges[:20] + [(5, 5)]
+    found = connected_components(spark.createDataFrame(edges, "u long, v long"))
+    real = [(a, b) for a, b in edges if a != b]
+    expected = union(real, {n for e in real for n in e})
+    got = {r.node: r.root for r in found.collect()}
+    assert {n: got.get(n, n) for n in expected} == expected
+    assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+@pytest.mark.parametrize("dense", [512, 2])
+def test_links_connect_all_close_fingerprints(spark, monkeypatch, dense):
+    monkeypatch.setattr(simhash, "DENSE_BLOCK", dense)
+    rng = random.Random(9)
+    prints = set()
+    for _ in range(12):
+        centre = rng.getrandbits(64)
+        for _ in range(8):
+            prints.add(centre)
+            for _ in range(rng.randrange(1, 4)):
+                centre ^= 1 << rng.randrange(64)
+    signed = sorted(p - (1 << 64) if p >> 63 else p for p in prints)
+    close = [
+        (a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 4
+    ]
+    found = links(spark.createDataFrame([(p,) for p in signed], "fp long")).collect()
+    for row in found:
+        assert (min(row.u, row.v), max(row.u, row.v)) in close
+    assert union([(r.u, r.v) for r in found], signed) == union(close, signed)
+
+
+def test_blocks_never_lose_a_pair():
+    for blocks in range(5, 9):
+        assert sum(w for _, w in simhash._slices(blocks)) == 64
+    assert simhash.blocks_for(10) == 5 and simhash.blocks_for(10**12) == 8
+
+
+def test_near_groups(docs):
+    rng = random.Random(2)
+    base = [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 9) for _ in range(400)) for _ in range(6)]
+    texts = base + [t + " end" for t in base] + base[:2] + ["", None, "  \n"]
+    rows = [(100 - k, t) for k, t in enumerate(texts)] + [(None, base[0]), (None, None)]
+    found = near_groups(docs(rows), carry=("doc_id", "text")).collect()
+    assert len(found) == len(rows)
+    prints = sorted({by_hand(t) for _, t in rows})
+    close = [(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 4]
+    roots = union(close, prints)
+    least, staying = {}, {}
+    for doc_id, text in rows:
+        root = roots[by_hand(text)]
+        least[root] = min((x for x in (least.get(root), doc_id) if x is not None), default=None)
+    for row in found:
+        assert row.fp % (1 << 64) == by_hand(row.text)
+        root = roots[by_hand(row.text)]
+        assert row.component_id == least[root]
+        staying.setdefault(root, []).extend([row.doc_id] if row.stays else [])
+    assert staying == {root: [doc_id] for root, doc_id in least.items()}
+
+
+def test_no_rows(docs):
+    assert exact_groups(docs([])).count() == 0
+    assert near_groups(docs([])).count() == 0
+
+
+def test_text_hashes_are_of_the_text(spark, docs, tmp_path):
+    from saleswright.llm.exact_dedup import op5_exact_dedup
+
+    docs(ROWS).write.parquet(f"{tmp_path}/documents.parquet")
+    found = op5_exact_dedup(spark, str(tmp_path)).collect()
+    assert {r.text_sha256 for r in found} == {sha256((t or "").encode()).hexdigest() for _, t in ROWS}
