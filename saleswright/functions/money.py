@@ -16,12 +16,18 @@ MEDIUM_BELOW = 500
 
 
 def price(value: Column) -> Column:
-    """A price or discount as an exact decimal, rounded half up."""
+    """A price or discount as an exact decimal, rounded half up; NULL if it cannot be one."""
     return value.try_cast(PRICE)
 
 
+def unstorable(value: Column) -> Column:
+    """Given, but no exact decimal: NaN, infinite or too wide."""
+    return value.isNotNull() & price(value).isNull()
+
+
 def or_zero(value: Column) -> Column:
-    return F.coalesce(price(value), F.lit(0).cast(PRICE))
+    """Zero for an absent value only; one that cannot be stored stays unknown."""
+    return F.when(value.isNull(), F.lit(0).cast(PRICE)).otherwise(price(value))
 
 
 def gross(unit_price: Column, quantity: Column) -> Column:
@@ -41,7 +47,9 @@ def total(unit_price: Column, quantity: Column, discount: Column) -> Column:
 
 def total_after_rate(unit_price: Column, quantity: Column, discount: Column) -> Column:
     """Gross times one less the discount, which is a fraction; NULL stays NULL."""
-    return gross(unit_price, quantity) * (F.lit(1).cast(PRICE) - price(discount))
+    return F.try_multiply(
+        gross(unit_price, quantity), F.lit(1).cast(PRICE) - price(discount)
+    )
 
 
 def margin(unit_price: Column, cost_price: Column) -> Column:

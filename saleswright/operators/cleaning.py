@@ -2,6 +2,8 @@
 
 The rules of a table are a mapping from the name of a defect to the condition
 a good row meets. The same mapping filters the rows and counts the rejects.
+Prices are judged as they are stored, and one that cannot be stored is a defect
+of its own.
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ def sales_rules(formats: Sequence[str] = (dates.ISO_DATE,)) -> Rules:
         "missing_customer_code": F.col("customer_code").isNotNull(),
         "missing_product_code": F.col("product_code").isNotNull(),
         "bad_quantity": F.col("quantity") > 0,
-        "bad_unit_price": F.col("unit_price") > 0,
+        "unstorable_unit_price": ~money.unstorable(F.col("unit_price")),
+        "bad_unit_price": money.price(F.col("unit_price")) > 0,
+        "unstorable_discount": ~money.unstorable(F.col("discount")),
         "bad_sale_date": dates.parse_date(F.col("sale_date"), formats).isNotNull(),
     }
 
@@ -41,9 +45,12 @@ def product_rules() -> Rules:
     return {
         "missing_product_code": F.col("product_code").isNotNull(),
         "missing_product_name": F.col("product_name").isNotNull(),
-        "bad_unit_price": F.col("unit_price") > 0,
-        "bad_cost_price": F.col("cost_price") > 0,
-        "cost_above_price": F.col("cost_price") <= F.col("unit_price"),
+        "unstorable_unit_price": ~money.unstorable(F.col("unit_price")),
+        "bad_unit_price": money.price(F.col("unit_price")) > 0,
+        "unstorable_cost_price": ~money.unstorable(F.col("cost_price")),
+        "bad_cost_price": money.price(F.col("cost_price")) > 0,
+        "cost_above_price": money.price(F.col("cost_price"))
+        <= money.price(F.col("unit_price")),
         "bad_weight": F.col("weight_kg") > 0,
     }
 

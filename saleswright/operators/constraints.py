@@ -20,7 +20,7 @@ def _count_violations(
     broken: Callable[[ColumnSpec], Column],
 ) -> DataFrame:
     """One pass: a count per column, then one row per column."""
-    present = [s for s in specs if s.name in df.columns]
+    present = list(specs)
     if not present:
         return df.sparkSession.createDataFrame([], _RESULT)
     counts = df.agg(*[F.count_if(broken(s)).alias(s.name) for s in present])
@@ -36,14 +36,19 @@ def _count_violations(
 
 
 def missing_values(df: DataFrame, table: str, specs: Iterable[ColumnSpec]) -> DataFrame:
-    """NULLs per required column."""
+    """NULLs per required column; every row lacks a column that is absent."""
     required = [s for s in specs if s.required]
-    return _count_violations(df, table, required, lambda s: F.col(s.name).isNull())
+    return _count_violations(
+        df,
+        table,
+        required,
+        lambda s: F.col(s.name).isNull() if s.name in df.columns else F.lit(True),
+    )
 
 
 def overlong_texts(df: DataFrame, table: str, specs: Iterable[ColumnSpec]) -> DataFrame:
     """Texts longer than the column allows, per column."""
-    bounded = [s for s in specs if s.length is not None]
+    bounded = [s for s in specs if s.length is not None and s.name in df.columns]
     return _count_violations(
         df, table, bounded, lambda s: F.char_length(F.col(s.name)) > s.length
     )
@@ -51,7 +56,7 @@ def overlong_texts(df: DataFrame, table: str, specs: Iterable[ColumnSpec]) -> Da
 
 def overflowing_decimals(df: DataFrame, table: str, specs: Iterable[ColumnSpec]) -> DataFrame:
     """Numbers that do not fit the column's precision, per column."""
-    exact = [s for s in specs if isinstance(s.type, T.DecimalType)]
+    exact = [s for s in specs if isinstance(s.type, T.DecimalType) and s.name in df.columns]
     return _count_violations(
         df,
         table,

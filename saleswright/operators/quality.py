@@ -1,8 +1,8 @@
 """Data-quality checks, their log rows, tallies, gate and alert level.
 
 A check row is ``(table_name, check_name, check_result, check_details,
-records_processed, records_failed)``. Each table is read once by one aggregate
-that yields all its counts; references are checked on distinct keys.
+records_processed, records_failed)``. The counts of a table come from one
+aggregate over it; references are checked on distinct keys.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The results a check may have and the wording of its details.
@@ -40,6 +40,7 @@ CRITICAL_CHECKS = (
     "customer_integrity",
     "product_integrity",
     "not_null",
+    "primary_key",
 )
 
 CHECK_SCHEMA = (
@@ -264,9 +265,14 @@ def run_all_checks(
 # --- log, tally, gate and alert
 
 
-def log_rows(checks: DataFrame, run_id: str, run_ts: Column) -> DataFrame:
-    """Check rows as the quality log holds them."""
+def log_rows(checks: DataFrame, run_id: str, run_ts: Column, after: int = 0) -> DataFrame:
+    """Check rows as the quality log holds them, numbered from ``after`` on.
+
+    A run has a few dozen checks, so they are numbered in one task.
+    """
+    order = Window.orderBy("table_name", "check_name", "check_details")
     return checks.select(
+        (F.row_number().over(order) + F.lit(after)).cast("long").alias("log_id"),
         F.lit(run_id).alias("pipeline_run_id"),
         "table_name",
         "check_name",

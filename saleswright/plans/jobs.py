@@ -27,11 +27,21 @@ from saleswright.operators import (
     modelling,
     quality,
 )
-from saleswright.operators.keys import dense_ids, surrogate_keys
+from saleswright.operators.keys import growing_ids, surrogate_keys
 from saleswright.schemas import ColumnSpec
 from saleswright.sources import files, sinks
 from saleswright.sources.jdbc import JdbcWarehouse, KeyRange
-from saleswright.storage import materialize
+from saleswright.storage import exists, materialize, recover, scratch_run
+
+
+#: Columns the warehouse declares as primary or unique keys besides the codes.
+PRIMARY_KEYS = {
+    "dim_customers": "customer_id",
+    "dim_products": "product_id",
+    "fact_sales": "sale_id",
+    "daily_sales_summary": "summary_date",
+    "data_quality_logs": "log_id",
+}
 
 
 @dataclass(frozen=True)
@@ -61,11 +71,14 @@ class JobConfig:
 
 
 def open_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    """A Parquet table, or None where there is none yet."""
+    """A Parquet table, or None where there is none yet or nothing in it."""
+    recover(spark, path)
+    if not exists(spark, path):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as problem:
-        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if problem.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 
@@ -91,7 +104,7 @@ def run_ingest(spark: SparkSession, cfg: JobConfig) -> dict[str, int]:
 
 
 def run_cleaning(spark: SparkSession, cfg: JobConfig) -> dict[str, int]:
-    """Raw to clean tables."""
+    """Raw to clean tables; returns the rows kept and removed."""
 
     def raw(name: str) -> DataFrame:
         return files.read_table(spark, cfg.table(name))
@@ -101,7 +114,12 @@ def run_cleaning(spark: SparkSession, cfg: JobConfig) -> dict[str, int]:
         "clean_customers": cleaning.clean_customers(raw("raw_customers")),
         "clean_products": cleaning.clean_products(raw("raw_products")),
     }
-    return {name: sinks.write_table(df, cfg.table(name)) for name, df in clean.items()}
+    counts = {}
+    for name, df in clean.items():
+        kept = sinks.write_table(df, cfg.table(name))
+        removed = raw(name.replace("clean", "raw")).count() - kept
+        counts |= {name: kept, f"{name}_removed": removed}
+    return counts
 
 
 def run_modelling(spark: SparkSession, cfg: JobConfig) -> dict[str, int]:
@@ -154,17 +172,28 @@ def load_dimension(
     return sinks.replace_table(merging.merge_dimension(current, incoming, key, id_column), path)
 
 
-def load_fact(spark: SparkSession, incoming: DataFrame, path: str) -> int:
-    """Append the sales the warehouse fact lacks; a repeated load adds none."""
+def load_fact(
+    spark: SparkSession,
+    sales: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    path: str,
+) -> int:
+    """Append the lake's sales that the warehouse fact lacks; a repeated load adds none.
+
+    Known transactions are dropped before the joins that look up the ids, and
+    ids of sales are given in the tasks that write: unique and growing, but not
+    without gaps.
+    """
     current = open_if_present(spark, path)
-    key, id_column = "transaction_id", "sale_id"
-    if current is None:
-        fresh = surrogate_keys(incoming, key, id_column)
-    else:
-        top = current.agg(F.max(id_column)).first()[0] or 0
-        rows = merging.rows_to_append(current, incoming, key)
-        fresh = dense_ids(rows, key, id_column, after=F.lit(top))
-    return sinks.append_partitioned(fresh, path, "sale_date")
+    top = 0
+    if current is not None:
+        top = current.agg(F.max("sale_id")).first()[0] or 0
+        sales = merging.rows_to_append(current, sales, "transaction_id")
+    fresh = modelling.warehouse_fact(sales, customers, products)
+    return sinks.append_partitioned(
+        fresh, path, "sale_date", lambda rows: growing_ids(rows, "sale_id", top)
+    )
 
 
 def warehouse_table(spark: SparkSession, cfg: JobConfig, name: str) -> DataFrame:
@@ -192,27 +221,31 @@ def run_load(spark: SparkSession, cfg: JobConfig) -> dict[str, int]:
     if lake_fact is None:
         counts["fact_sales"] = 0
         return counts
-    fact = modelling.warehouse_fact(
+    counts["fact_sales"] = load_fact(
+        spark,
         lake_fact,
         warehouse_table(spark, cfg, "dim_customers"),
         warehouse_table(spark, cfg, "dim_products"),
+        cfg.table("warehouse/fact_sales"),
     )
-    counts["fact_sales"] = load_fact(spark, fact, cfg.table("warehouse/fact_sales"))
     return counts
 
 
 def load_to_database(
-    spark: SparkSession, cfg: JobConfig, target: JdbcWarehouse, split: KeyRange | None = None
+    spark: SparkSession, cfg: JobConfig, target: JdbcWarehouse, split: KeyRange, writers: int
 ) -> None:
     """The same load into a database that holds the keys and constraints.
 
     Dimensions replace the tables' rows, the fact's new rows are appended.
+    ``split`` deals the reading of the fact's keys over tasks. The dimension
+    tables must not be referenced by the fact's, as databases refuse to empty
+    such tables.
     """
     for name in ("dim_customers", "dim_products"):
-        target.replace(warehouse_table(spark, cfg, name), name)
+        target.replace(warehouse_table(spark, cfg, name), name, writers)
     fact = warehouse_table(spark, cfg, "fact_sales")
     present = target.read(spark, "fact_sales", ["transaction_id"], split)
-    target.append(merging.rows_to_append(present, fact, "transaction_id"), "fact_sales")
+    target.append(merging.rows_to_append(present, fact, "transaction_id"), "fact_sales", writers)
 
 
 # --- quality and summary
@@ -225,14 +258,17 @@ def _table_or_empty(spark: SparkSession, cfg: JobConfig, name: str) -> DataFrame
 
 
 def _constraint_checks(spark: SparkSession, cfg: JobConfig, stored: Mapping) -> DataFrame:
-    """The declared constraints of the three tables.
+    """The declared constraints of the tables that there are.
 
-    Required columns are looked at in the warehouse. Lengths and decimals are
-    looked at in the lake, as values that do not fit are NULL after the load.
+    Required columns and primary keys are looked at in the warehouse. Lengths
+    and decimals are looked at in the lake, as values that do not fit are NULL
+    after the load.
     """
     parts = []
     for name, table in stored.items():
         specs = schemas.WAREHOUSE[name]
+        key = quality.check_uniqueness(table, name, [PRIMARY_KEYS[name]])
+        parts.append(key.withColumn("check_name", F.lit("primary_key")))
         lake = open_if_present(spark, cfg.table(name))
         lake = table if lake is None else lake
         parts += [
@@ -249,32 +285,74 @@ def _constraint_checks(spark: SparkSession, cfg: JobConfig, stored: Mapping) ->
     return reduce(DataFrame.unionByName, parts)
 
 
+def quality_log(spark: SparkSession, path: str) -> DataFrame:
+    """The quality log, kept in one folder per run."""
+    return files.read_table(spark, path, schema=schemas.table_schema("data_quality_logs"))
+
+
+def write_quality_log(
+    spark: SparkSession, checks: DataFrame, run_id: str, run_ts: Column, path: str
+) -> DataFrame:
+    """Make ``checks`` the log of the run and return its rows.
+
+    A stage that is repeated replaces the rows of its run, so that a repaired
+    run is judged anew; those of other runs stay, and numbers go on from them.
+    """
+    after = 0
+    if open_if_present(spark, path) is not None:
+        others = quality_log(spark, path).where(F.col("pipeline_run_id") != run_id)
+        after = others.agg(F.max("log_id")).first()[0] or 0
+    sinks.replace_partitions(
+        quality.log_rows(checks, run_id, run_ts, after), path, "pipeline_run_id"
+    )
+    return quality_log(spark, path).where(F.col("pipeline_run_id") == run_id)
+
+
 def run_quality(spark: SparkSession, cfg: JobConfig) -> DataFrame:
-    """Check the warehouse tables, append the outcome to the log, return the tallies.
+    """Check the warehouse tables, write the run's log, return the tallies.
 
     The eleven checks of the suite and those of the declared constraints.
     """
     tables = {name: _table_or_empty(spark, cfg, name) for name in quality.SUITE}
-    checks = quality.run_all_checks(spark, tables, cfg.today).unionByName(
-        _constraint_checks(spark, cfg, tables)
-    )
+    declared = dict(tables)
     log = cfg.table("warehouse/data_quality_logs")
-    sinks.append_table(quality.log_rows(checks, cfg.run_id, cfg.run_time), log)
-    written = files.read_table(spark, log).where(F.col("pipeline_run_id") == cfg.run_id)
+    summary = open_if_present(spark, cfg.table("warehouse/daily_sales_summary"))
+    if summary is not None:
+        declared["daily_sales_summary"] = summary
+    if open_if_present(spark, log) is not None:
+        declared["data_quality_logs"] = quality_log(spark, log)
+    # Written before the log is replaced, as some checks read it.
+    checks = materialize(
+        quality.run_all_checks(spark, tables, cfg.today).unionByName(
+            _constraint_checks(spark, cfg, declared)
+        ),
+        "checks",
+    )
+    written = write_quality_log(spark, checks, cfg.run_id, cfg.run_time, log)
     return quality.add_alert_level(quality.summarize_checks(written))
 
 
-def upsert_summary(spark: SparkSession, incoming: DataFrame, path: str) -> int:
-    """Merge days into the summary table, rewriting only the months they fall in."""
+def upsert_summary(
+    spark: SparkSession, incoming: DataFrame, path: str, month_of: Column | None = None
+) -> int:
+    """Merge days into the summary table, rewriting only the months they fall in.
+
+    ``month_of`` is the one day that ``incoming`` is about, if there is only one:
+    then the month is known without looking at the rows.
+    """
     month = F.date_format("summary_date", "yyyy-MM")
     current = open_if_present(spark, path)
     if current is None:
         merged = incoming
     else:
         # Months as the folders name them, so that the others are not read.
-        months = incoming.select(month.alias("summary_month")).distinct()
         current = current.withColumn("summary_month", F.col("summary_month").cast("string"))
-        touched = current.join(months, "summary_month", "left_semi").drop("summary_month")
+        if month_of is None:
+            months = incoming.select(month.alias("summary_month")).distinct()
+            touched = current.join(months, "summary_month", "left_semi")
+        else:
+            touched = current.where(F.col("summary_month") == F.date_format(month_of, "yyyy-MM"))
+        touched = touched.drop("summary_month")
         merged = merging.merge_summary(touched, incoming)
     return sinks.replace_partitions(
         merged.withColumn("summary_month", month), path, "summary_month"
@@ -289,7 +367,7 @@ def run_summary(spark: SparkSession, cfg: JobConfig) -> int:
         cfg.today,
         cfg.run_time,
     )
-    return upsert_summary(spark, day, cfg.table("warehouse/daily_sales_summary"))
+    return upsert_summary(spark, day, cfg.table("warehouse/daily_sales_summary"), cfg.today)
 
 
 @dataclass(frozen=True)
@@ -301,17 +379,28 @@ class RunReport:
 
 
 def run_all(spark: SparkSession, cfg: JobConfig) -> RunReport:
-    """All stages in order; raises at the first failure and at a failed gate."""
+    """All stages in order; raises at the first failure and at a failed gate.
+
+    Scratch tables are deleted at the end, whether the run fails or not.
+    """
+    with scratch_run(spark):
+        counts, tallies = run_to_quality(spark, cfg)
+        quality.enforce_gate(tallies)
+        counts["summary"] = {"daily_sales_summary": run_summary(spark, cfg)}
+        return RunReport(counts, tallies.first().asDict())
+
+
+def run_to_quality(
+    spark: SparkSession, cfg: JobConfig
+) -> tuple[dict[str, dict[str, int]], DataFrame]:
+    """The stages up to the gate: rows per stage and table, and the quality tallies."""
     counts = {
         "ingest": run_ingest(spark, cfg),
         "clean": run_cleaning(spark, cfg),
         "model": run_modelling(spark, cfg),
         "load": run_load(spark, cfg),
     }
-    tallies = run_quality(spark, cfg)
-    quality.enforce_gate(tallies)
-    counts["summary"] = {"daily_sales_summary": run_summary(spark, cfg)}
-    return RunReport(counts, tallies.first().asDict())
+    return counts, run_quality(spark, cfg)
 
 
 # --- quick report

@@ -14,6 +14,7 @@ EARLIER_TS = "TIMESTAMP '2001-01-01 00:00:00'"
 AS_OF = "DATE '2001-07-01'"
 SUMMARY_DAY = "DATE '1998-06-15'"
 
+# The email pattern, and below the wordings of the checks.
 EMAIL = r"'^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$'"
 
 
@@ -45,13 +46,17 @@ def _any_date(text: str) -> str:
 
 
 def _price(value: str) -> str:
-    return f"CAST({value} AS DECIMAL(12,2))"
+    return f"TRY_CAST({value} AS DECIMAL(16,2))"
 
 
 _GROSS = f"{_price('unit_price')} * CAST(quantity AS DECIMAL(10,0))"
-_TAX = f"CAST({_GROSS} * CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(18,3))"
-_OFF = f"coalesce({_price('discount')}, CAST(0 AS DECIMAL(12,2)))"
-_TOTAL = f"CAST({_GROSS} - {_OFF} + {_TAX} AS DECIMAL(18,3))"
+_TAX = f"CAST({_GROSS} * CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(27,3))"
+_OFF = f"CASE WHEN discount IS NULL THEN CAST(0 AS DECIMAL(16,2)) ELSE {_price('discount')} END"
+_TOTAL = f"CAST({_GROSS} - ({_OFF}) + {_TAX} AS DECIMAL(27,3))"
+
+
+def _unstorable(value: str) -> str:
+    return f"({value} IS NOT NULL AND {_price(value)} IS NULL)"
 
 
 def _mean(value: str) -> str:
@@ -63,7 +68,7 @@ def _size(amount: str) -> str:
 
 
 def _code(prefix: str, number: str) -> str:
-    return f"'{prefix}' || lpad(CAST({number} AS VARCHAR), 12, '0')"
+    return f"'{prefix}' || lpad(CAST({number} AS VARCHAR), 19, '0')"
 
 
 # --- named parts; each may use those before it
@@ -80,12 +85,19 @@ SELECT
        WHEN tax = 0 AND disc = 10 THEN strftime(o_orderdate, '%m-%d-%Y')
        WHEN tax = 8 AND disc = 10 THEN strftime(o_orderdate, '%Y%m%d')
        ELSE strftime(o_orderdate, '%Y-%m-%d') END AS sale_date,
-  CASE WHEN tax = 0 AND disc = 1 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS quantity,
+  CASE WHEN tax = 0 AND disc = 1 THEN 0 WHEN tax = 2 AND disc = 0 AND l_linenumber = 7 THEN 1
+       ELSE CAST(l_quantity AS INTEGER) END AS quantity,
   CASE WHEN tax = 0 AND disc = 2 THEN CAST(0 AS DOUBLE)
        WHEN tax = 0 AND disc = 3 THEN CAST(-10 AS DOUBLE)
        WHEN tax = 0 AND disc = 4 THEN CAST(999999.99 AS DOUBLE)
+       WHEN tax = 2 AND disc = 0 AND l_linenumber = 7 THEN CAST(2e10 AS DOUBLE)
+       WHEN tax = 2 AND disc = 1 AND l_linenumber = 7 THEN CAST(1e300 AS DOUBLE)
+       WHEN tax = 2 AND disc = 2 AND l_linenumber = 7 THEN CAST(0.004 AS DOUBLE)
+       WHEN tax = 2 AND disc = 5 THEN CAST(9.99 AS DOUBLE)
        ELSE l_extendedprice END AS unit_price,
   CASE WHEN tax = 0 AND disc = 5 THEN CAST(9999999 AS DOUBLE)
+       WHEN tax = 2 AND disc = 3 AND l_linenumber = 7 THEN CAST(2e10 AS DOUBLE)
+       WHEN tax = 2 AND disc = 4 AND l_linenumber = 7 THEN CAST(1e300 AS DOUBLE)
        WHEN disc > 0 THEN CAST(disc AS DOUBLE) END AS discount,
   CASE WHEN tax = 1 AND disc = 0 THEN NULL
        WHEN tax = 1 AND disc = 10 THEN ''
@@ -102,7 +114,7 @@ SELECT * REPLACE (nullif(payment_method, '') AS payment_method) FROM raw_sales
 
 _PARTS["documents_flat"] = f"""
 SELECT
-  {_code('CUST', 'c_custkey')} AS customer_code,
+  {_code('CUST', 'c_custkey - CASE WHEN c_custkey % 50 = 0 THEN 1 ELSE 0 END')} AS customer_code,
   CASE WHEN c_mktsegment = 'HOUSEHOLD' AND c_acctbal < -900 THEN NULL
        WHEN c_mktsegment = 'BUILDING' THEN lower(given)
        WHEN c_mktsegment = 'MACHINERY' THEN '  ' || given || '  '
@@ -133,7 +145,7 @@ JOIN region ON n_regionkey = r_regionkey
 
 _PARTS["raw_products"] = f"""
 SELECT
-  {_code('PROD', 'p_partkey')} AS product_code,
+  {_code('PROD', 'p_partkey - CASE WHEN p_partkey % 40 = 0 THEN 1 ELSE 0 END')} AS product_code,
   CASE WHEN p_size <> 47 THEN p_name END AS product_name,
   ' ' || lower(p_type) AS category,
   split_part(p_name, ' ', 2) AS subcategory,
@@ -181,8 +193,8 @@ FROM (
       payment_method NULLS FIRST) AS place
   FROM (
     SELECT *, coalesce(transaction_id IS NOT NULL AND customer_code IS NOT NULL
-      AND product_code IS NOT NULL AND quantity > 0 AND unit_price > 0 AND day IS NOT NULL,
-      FALSE) AS valid
+      AND product_code IS NOT NULL AND quantity > 0 AND {_price('unit_price')} > 0
+      AND day IS NOT NULL AND NOT {_unstorable('discount')}, FALSE) AS valid
     FROM (SELECT *, {date_expression} AS day FROM raw_sales)))
 WHERE place = 1 AND valid
 """
@@ -198,17 +210,27 @@ SELECT customer_code, {_title('first_name')} AS first_name, {_title('last_name')
   {_title('country')} AS country, {_title('city')} AS city,
   {_iso('registration_date')} AS registration_date,
   upper(trim(customer_segment)) AS customer_segment
-FROM documents_flat
-WHERE customer_code IS NOT NULL AND first_name IS NOT NULL AND last_name IS NOT NULL
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_code ORDER BY valid DESC,
+        first_name NULLS FIRST, last_name NULLS FIRST, email NULLS FIRST, phone NULLS FIRST,
+        country NULLS FIRST, city NULLS FIRST, registration_date NULLS FIRST,
+        customer_segment NULLS FIRST) AS place
+      FROM (SELECT *, customer_code IS NOT NULL AND first_name IS NOT NULL
+              AND last_name IS NOT NULL AS valid FROM documents_flat))
+WHERE place = 1 AND valid
 """
 
 _PARTS["clean_products"] = f"""
 SELECT product_code, {_title('product_name')} AS product_name, {_title('category')} AS category,
   {_title('subcategory')} AS subcategory, {_title('brand')} AS brand,
   {_price('unit_price')} AS unit_price, {_price('cost_price')} AS cost_price, weight_kg
-FROM raw_products
-WHERE product_code IS NOT NULL AND product_name IS NOT NULL AND unit_price > 0
-  AND cost_price > 0 AND cost_price <= unit_price AND weight_kg > 0
+FROM (SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY valid DESC,
+        product_name NULLS FIRST, category NULLS FIRST, subcategory NULLS FIRST, brand NULLS FIRST,
+        unit_price NULLS FIRST, cost_price NULLS FIRST, weight_kg NULLS FIRST) AS place
+      FROM (SELECT *, coalesce(product_code IS NOT NULL AND product_name IS NOT NULL
+              AND {_price('unit_price')} > 0 AND {_price('cost_price')} > 0
+              AND {_price('cost_price')} <= {_price('unit_price')} AND weight_kg > 0, FALSE) AS valid
+            FROM raw_products))
+WHERE place = 1 AND valid
 """
 
 _PARTS["fact"] = f"""
@@ -232,10 +254,10 @@ SELECT row_number() OVER (ORDER BY product_code) AS product_id, * FROM clean_pro
 
 _PARTS["stored_fact"] = """
 SELECT f.transaction_id, c.customer_id, p.product_id, f.sale_date, f.sale_timestamp, f.quantity,
-  CAST(f.unit_price AS DECIMAL(10,2)) AS unit_price,
-  CAST(f.discount_amount AS DECIMAL(10,2)) AS discount_amount,
-  CAST(f.tax_amount AS DECIMAL(10,2)) AS tax_amount,
-  CAST(f.total_amount AS DECIMAL(12,2)) AS total_amount,
+  TRY_CAST(f.unit_price AS DECIMAL(10,2)) AS unit_price,
+  TRY_CAST(f.discount_amount AS DECIMAL(10,2)) AS discount_amount,
+  TRY_CAST(f.tax_amount AS DECIMAL(10,2)) AS tax_amount,
+  TRY_CAST(f.total_amount AS DECIMAL(12,2)) AS total_amount,
   f.payment_method, f.currency_code, f.created_at
 FROM fact f
 JOIN customer_ids c ON f.customer_code = c.customer_code
@@ -249,14 +271,14 @@ _MEAN_CENTS = "CAST(sign(cents) * ((2 * abs(cents) + n) // (2 * n)) AS DOUBLE) /
 _PARTS["day_totals"] = """
 SELECT sale_date, sum(amount) AS total, CAST(sum(amount) * 100 AS HUGEINT) AS cents,
   count(*) AS n, count(DISTINCT customer_code) AS customers
-FROM (SELECT *, CAST(total_amount AS DECIMAL(12,2)) AS amount FROM fact)
+FROM (SELECT *, CAST(total_amount AS DECIMAL(26,2)) AS amount FROM fact)
 GROUP BY sale_date
 """
 
 _PARTS["day_best"] = """
 SELECT sale_date, product_category FROM (
   SELECT sale_date, product_category, row_number() OVER (
-    PARTITION BY sale_date ORDER BY sum(CAST(total_amount AS DECIMAL(12,2))) DESC,
+    PARTITION BY sale_date ORDER BY sum(CAST(total_amount AS DECIMAL(26,2))) DESC,
       product_category NULLS LAST) AS place
   FROM fact GROUP BY sale_date, product_category)
 WHERE place = 1
@@ -292,8 +314,8 @@ WHERE product_code IS NOT NULL AND product_name IS NOT NULL AND category IS NOT
 """
 
 _PARTS["quick_lines"] = f"""
-SELECT s.*, {_price('s.unit_price')} * CAST(s.quantity AS DECIMAL(10,0))
-    * (CAST(1 AS DECIMAL(12,2)) - {_price('s.discount')}) AS total_amount,
+SELECT s.*, CAST({_price('s.unit_price')} * CAST(s.quantity AS DECIMAL(10,0)) AS DECIMAL(27,2))
+    * (CAST(1 AS DECIMAL(16,2)) - {_price('s.discount')}) AS total_amount,
   {RUN_TS} AS processing_timestamp, p.category, p.brand
 FROM complete_sales s LEFT JOIN complete_products p ON s.product_code = p.product_code
 """
@@ -524,6 +546,12 @@ _NOT_NULL = {
     "dim_products": ["product_code"],
     "fact_sales": ["transaction_id", "sale_date", "quantity", "unit_price", "total_amount"],
 }
+# Required columns that the sources lack, so that every row breaks the rule.
+_ABSENT = {
+    "dim_customers": ["customer_id"],
+    "dim_products": ["product_id"],
+    "fact_sales": ["sale_id", "sale_timestamp"],
+}
 _LENGTHS = {
     "dim_customers": {
         "customer_code": 50, "first_name": 100, "last_name": 100, "email": 255, "phone": 20,
@@ -621,7 +649,9 @@ WHERE place = 1""",
         ("missing_customer_code", "customer_code IS NULL"),
         ("missing_product_code", "product_code IS NULL"),
         ("bad_quantity", "quantity IS NULL OR quantity <= 0"),
-        ("bad_unit_price", "unit_price IS NULL OR unit_price <= 0"),
+        ("unstorable_unit_price", _unstorable("unit_price")),
+        ("bad_unit_price", f"unit_price IS NULL OR {_price('unit_price')} <= 0"),
+        ("unstorable_discount", _unstorable("discount")),
         ("bad_sale_date", f"({_iso('sale_date')}) IS NULL"),
     ]
     cases = " ".join(f"WHEN {broken} THEN '{name}'" for name, broken in outcomes)
@@ -731,7 +761,7 @@ FROM clean_sales s LEFT JOIN clean_products p ON s.product_code = p.product_code
     )
     sql["total_fractional_discount"] = f"""
 SELECT l_orderkey, l_linenumber, unit_price, quantity, discount, CAST({_GROSS}
-  * (CAST(1 AS DECIMAL(12,2)) - {_price('discount')}) AS DOUBLE) AS total_amount
+  * (CAST(1 AS DECIMAL(16,2)) - {_price('discount')}) AS DOUBLE) AS total_amount
 FROM (SELECT l_orderkey, l_linenumber, l_extendedprice AS unit_price,
         CAST(l_quantity AS INTEGER) AS quantity,
         CASE WHEN l_discount > 0 THEN l_discount END AS discount FROM lineitem)"""
@@ -749,9 +779,13 @@ FROM (SELECT l_orderkey, l_linenumber, l_extendedprice AS unit_price,
         + " UNION ALL "
         + _uniqueness("raw_sales", "raw_sales", "transaction_id")
         + " UNION ALL "
-        + _uniqueness("raw_sales", "raw_sales", "customer_code", "product_code"),
-        "clean_customers",
-        "raw_sales",
+        + _uniqueness("raw_sales", "raw_sales", "customer_code", "product_code")
+        + " UNION ALL "
+        + _uniqueness("dim_customers", "customer_ids", "customer_id")
+        + " UNION ALL "
+        + _uniqueness("daily_sales_summary", "days", "summary_date"),
+        "customer_ids",
+        "days",
     )
     sql["dq_referential"] = _with(_references(), *cleaned)
     sql["dq_business_rules"] = _with(_business_rules("unfiltered_sales"), "unfiltered_sales")
@@ -765,16 +799,19 @@ SELECT pipeline_run_id, CASE WHEN critical_failures > 0 THEN 'CRITICAL'
     )
     sql["dq_log"] = _with(
         f"""
-SELECT 'run-1' AS pipeline_run_id, *, {EARLIER_TS} AS execution_time FROM ({_references()})
+SELECT row_number() OVER (ORDER BY check_name) AS log_id, 'run-1' AS pipeline_run_id, *,
+  {EARLIER_TS} AS execution_time FROM ({_references()})
 UNION ALL
-SELECT 'run-2', *, {RUN_TS} FROM ({_business_rules('unfiltered_sales')})""",
+SELECT 2 + row_number() OVER (ORDER BY check_name), 'run-2', *, {RUN_TS}
+FROM ({_business_rules('unfiltered_sales')})""",
         *cleaned,
         "unfiltered_sales",
     )
     raw_parts = ("documents_flat", "raw_products", "unfiltered_sales")
     sql["constraint_not_null"] = _with(
         _violations(
-            (t, _SOURCES[t], c, f"{c} IS NULL") for t, cols in _NOT_NULL.items() for c in cols
+            [(t, _SOURCES[t], c, f"{c} IS NULL") for t, cols in _NOT_NULL.items() for c in cols]
+            + [(t, _SOURCES[t], c, "TRUE") for t, cols in _ABSENT.items() for c in cols]
         ),
         *raw_parts,
     )
@@ -970,8 +1007,11 @@ FROM days""",
         f"""
 SELECT *, {RUN_TS} AS created_at, {RUN_TS} AS updated_at FROM clean_customers
 UNION ALL BY NAME
-SELECT customer_code, first_name, last_name, email, customer_segment FROM documents_flat r
-WHERE NOT EXISTS (SELECT 1 FROM clean_customers c WHERE c.customer_code = r.customer_code)""",
+SELECT customer_code, first_name, last_name, email, customer_segment FROM (SELECT customer_code, first_name, last_name, NULL AS email, customer_segment,
+        row_number() OVER (PARTITION BY customer_code ORDER BY first_name NULLS FIRST,
+          last_name NULLS FIRST, customer_segment NULLS FIRST) AS place FROM documents_flat) r
+WHERE place = 1
+  AND NOT EXISTS (SELECT 1 FROM clean_customers c WHERE c.customer_code = r.customer_code)""",
         "clean_customers",
     )
 

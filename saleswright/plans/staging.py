@@ -28,7 +28,7 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _code(prefix: str, number: str) -> str:
-    return f"concat('{prefix}', lpad(cast({number} as string), 12, '0'))"
+    return f"concat('{prefix}', lpad(cast({number} as string), 19, '0'))"
 
 
 def _columns(expressions: dict[str, str]) -> list[str]:
@@ -53,6 +53,8 @@ def raw_sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_discount",
         ),
         by=["l_orderkey", "l_linenumber", "l_partkey"],
+        # The given table is one row group.
+        parts=int(spark.conf.get("spark.sql.shuffle.partitions")),
     ).selectExpr(
         "*", "cast(rint(l_tax * 100) as int) as tax", "cast(rint(l_discount * 100) as int) as disc"
     )
@@ -76,13 +78,23 @@ def raw_sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "when tax = 8 and disc = 10 then date_format(o_orderdate, 'yyyyMMdd') "
                     "else date_format(o_orderdate, 'yyyy-MM-dd') end"
                 ),
-                "quantity": "if(tax = 0 and disc = 1, 0, cast(l_quantity as int))",
+                "quantity": (
+                    "case when tax = 0 and disc = 1 then 0 "
+                    "when tax = 2 and disc = 0 and l_linenumber = 7 then 1 "
+                    "else cast(l_quantity as int) end"
+                ),
                 "unit_price": (
                     "case when tax = 0 and disc = 2 then 0d when tax = 0 and disc = 3 then -10d "
-                    "when tax = 0 and disc = 4 then 999999.99d else l_extendedprice end"
+                    "when tax = 0 and disc = 4 then 999999.99d "
+                    "when tax = 2 and disc = 0 and l_linenumber = 7 then 2e10d "
+                    "when tax = 2 and disc = 1 and l_linenumber = 7 then 1e300d "
+                    "when tax = 2 and disc = 2 and l_linenumber = 7 then 0.004d "
+                    "when tax = 2 and disc = 5 then 9.99d else l_extendedprice end"
                 ),
                 "discount": (
                     "case when tax = 0 and disc = 5 then 9999999d "
+                    "when tax = 2 and disc = 3 and l_linenumber = 7 then 2e10d "
+                    "when tax = 2 and disc = 4 and l_linenumber = 7 then 1e300d "
                     "when disc > 0 then cast(disc as double) end"
                 ),
                 "payment_method": (
@@ -119,7 +131,8 @@ def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_places(named, "c_nationkey", spark, sf_dir).selectExpr(
         *_columns(
             {
-                "customer_id": _code("CUST", "c_custkey"),
+                # Some customers share the code of the one before.
+                "customer_id": _code("CUST", "(c_custkey - if(c_custkey % 50 = 0, 1, 0))"),
                 "personal_info": _fields(
                     {
                         "first_name": (
@@ -182,7 +195,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given(spark, sf_dir, "part").selectExpr(
         *_columns(
             {
-                "product_code": _code("PROD", "p_partkey"),
+                "product_code": _code("PROD", "(p_partkey - if(p_partkey % 40 = 0, 1, 0))"),
                 "product_name": "case when p_size <> 47 then p_name end",
                 "category": "concat(' ', lower(p_type))",
                 "subcategory": "split_part(p_name, ' ', 2)",

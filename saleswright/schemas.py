@@ -113,9 +113,10 @@ CUSTOMERS_JSON = T.StructType(
 # --- working types
 
 #: Prices and discounts as read, held exactly.
-PRICE = T.DecimalType(12, 2)
-#: Computed line amounts: three decimals, since the tax is a tenth of cents.
-AMOUNT = T.DecimalType(18, 3)
+PRICE = T.DecimalType(16, 2)
+#: Computed line amounts: three decimals, since the tax is a tenth of cents, and
+#: room for any price times any quantity; their sums fit 38 digits.
+AMOUNT = T.DecimalType(27, 3)
 
 
 # --- warehouse tables

@@ -29,9 +29,6 @@ ENGINE_CONF = {
 #: Bytes a task should handle: small enough to sort in memory beside its
 #: neighbours, large enough that files and tasks stay few.
 TASK_BYTES = 256 * 1024**2
-#: More shuffle partitions than this burden the driver more than they help.
-MOST_PARTITIONS = 200_000
-
 
 def sizing_conf(input_bytes: int, cores: int) -> dict[str, str]:
     """Task sizes for a job that reads about ``input_bytes`` on ``cores`` cores.
@@ -39,7 +36,7 @@ def sizing_conf(input_bytes: int, cores: int) -> dict[str, str]:
     The partition count is where AQE starts from; it merges what turns out small.
     """
     wanted = -(-input_bytes // TASK_BYTES)
-    partitions = min(max(wanted, cores), MOST_PARTITIONS)
+    partitions = max(wanted, cores)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(TASK_BYTES),

@@ -66,14 +66,13 @@ def read_table(
     return table if columns is None else table.select(*columns)
 
 
-def spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Give every core a share of a scan that comes in fewer pieces than cores.
+def spread(df: DataFrame, by: Sequence[str], parts: int) -> DataFrame:
+    """Deal a scan that comes in few pieces over ``parts`` tasks.
 
     A Parquet row group, a JSON array or a compressed CSV file is read by one
     task, and without a shuffle that task also does all the work that follows.
-    Scans with enough pieces, as any large table has, are left as they are.
     ``by`` names columns that tell rows apart: a hash of them is even and, unlike
-    a round-robin shuffle, needs no sort to be repeatable.
+    a round-robin shuffle, needs no sort to be repeatable. A table of many pieces
+    needs no spreading.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *by)
+    return df.repartition(parts, *by)

@@ -57,13 +57,18 @@ class JdbcWarehouse:
         reader = spark.read.format("jdbc").options(**self.read_options(table, split))
         return reader.load().select(*columns)
 
-    def replace(self, df: DataFrame, table: str, writers: int = 8) -> None:
-        """Empty the table, keeping its definition, and fill it with ``df``."""
+    def replace(self, df: DataFrame, table: str, writers: int) -> None:
+        """Empty the table, keeping its definition, and fill it with ``df``.
+
+        A database refuses this for a table that others reference; there, load a
+        staging table and merge it. ``df`` is dealt over as many tasks as may
+        write at a time, so that the plan before keeps its own partitions.
+        """
         options = self.write_options(table, writers)
-        df.write.format("jdbc").mode("overwrite").options(**options, truncate="true").save()
+        df.repartition(writers).write.format("jdbc").mode("overwrite").options(**options, truncate="true").save()
 
-    def append(self, df: DataFrame, table: str, writers: int = 8) -> None:
+    def append(self, df: DataFrame, table: str, writers: int) -> None:
         """Add ``df``. Drop rows the table already has first: a retried task may
         send a batch twice, so the table should also declare its key unique."""
         options = self.write_options(table, writers)
-        df.write.format("jdbc").mode("append").options(**options).save()
+        df.repartition(writers).write.format("jdbc").mode("append").options(**options).save()

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
 from saleswright.session import temporary_conf
-from saleswright.storage import materialize
+from saleswright.storage import drop, swap_in
 
 
 def _counted(df: DataFrame, save) -> int:
@@ -17,7 +20,9 @@ def _counted(df: DataFrame, save) -> int:
         return seen.get["n"]
     except (KeyError, Py4JJavaError):
         # The optimizer drops the count along with a plan it finds to be empty.
-        return 0
+        if df.isEmpty():
+            return 0
+        raise
 
 
 def _parquet(df: DataFrame, mode: str) -> DataFrameWriter:
@@ -39,7 +44,14 @@ def append_table(df: DataFrame, path: str) -> int:
 _MANY_FILES = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k"}
 
 
-def _partitioned(df: DataFrame, path: str, by: str, mode: str, **options: str) -> int:
+def _partitioned(
+    df: DataFrame,
+    path: str,
+    by: str,
+    mode: str,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+    **options: str,
+) -> int:
     """Write one folder per value of ``by``.
 
     The rebalance brings a value's rows together, so that a small one makes one
@@ -47,11 +59,12 @@ def _partitioned(df: DataFrame, path: str, by: str, mode: str, **options: str) -
     """
 
     def save(rows: DataFrame) -> None:
-        writer = _parquet(rows.hint("rebalance", F.col(by)), mode).options(**options)
-        writer.partitionBy(by).parquet(path)
+        _parquet(rows, mode).options(**options).partitionBy(by).parquet(path)
 
+    rows = df.hint("rebalance", F.col(by))
     with temporary_conf(df.sparkSession, _MANY_FILES):
-        return _counted(df, save)
+        # Above the rebalance, so that only tasks whose files stay are counted.
+        return _counted(rows if finish is None else finish(rows), save)
 
 
 def write_partitioned(df: DataFrame, path: str, by: str) -> int:
@@ -59,9 +72,14 @@ def write_partitioned(df: DataFrame, path: str, by: str) -> int:
     return _partitioned(df, path, by, "overwrite", partitionOverwriteMode="static")
 
 
-def append_partitioned(df: DataFrame, path: str, by: str) -> int:
-    """Add rows to a partitioned Parquet table."""
-    return _partitioned(df, path, by, "append")
+def append_partitioned(
+    df: DataFrame, path: str, by: str, finish: Callable[[DataFrame], DataFrame] | None = None
+) -> int:
+    """Add rows to a partitioned Parquet table.
+
+    ``finish`` is applied in the tasks that write, after the last shuffle.
+    """
+    return _partitioned(df, path, by, "append", finish)
 
 
 def replace_partitions(df: DataFrame, path: str, by: str) -> int:
@@ -76,10 +94,17 @@ def replace_partitions(df: DataFrame, path: str, by: str) -> int:
 def replace_table(df: DataFrame, path: str) -> int:
     """Replace a table by rows that were computed from it.
 
-    The rows are first written to the shared folder, since an overwrite deletes
-    the files the plan would still read.
+    The rows are written beside the table, which is then exchanged for them. A
+    write that fails leaves the table as it was.
     """
-    return write_table(materialize(df, "replacement"), path)
+    fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    try:
+        n = write_table(df, fresh)
+    except Exception:
+        drop(df.sparkSession, fresh)
+        raise
+    swap_in(df.sparkSession, fresh, path)
+    return n
 
 
 def write_csv(df: DataFrame, path: str) -> int:

@@ -8,12 +8,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _local_dirs: dict[str, str] = {}
+#: Paths handed out within the runs that clean up after themselves.
+_runs: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,7 +35,70 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    for run in _runs:
+        run.append(path)
+    return path
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made within, when all that reads them is done."""
+    made: list[str] = []
+    _runs.append(made)
+    try:
+        yield
+    finally:
+        _runs.pop()
+        for path in made:
+            drop(spark, path)
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that system names it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _files(spark, path)
+    return files.exists(place)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    files, place = _files(spark, path)
+    files.delete(place, True)
+
+
+def _aside(path: str) -> str:
+    return f"{path.rstrip('/')}.before"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Put a table back that a failed :func:`swap_in` left aside."""
+    if not exists(spark, path) and exists(spark, _aside(path)):
+        _rename(spark, _aside(path), path)
+
+
+def swap_in(spark: SparkSession, fresh: str, path: str) -> None:
+    """Let the folder ``fresh``, fully written, take the place of ``path``.
+
+    The old folder stands aside until the new one is in place. A failure in
+    between leaves one of them, which :func:`recover` puts back.
+    """
+    recover(spark, path)
+    drop(spark, _aside(path))
+    if exists(spark, path):
+        _rename(spark, path, _aside(path))
+    _rename(spark, fresh, path)
+    drop(spark, _aside(path))
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    files, place = _files(spark, old)
+    if not files.rename(place, _files(spark, new)[1]):
+        raise OSError(f"{old} cannot become {new}")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

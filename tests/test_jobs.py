@@ -1,5 +1,6 @@
 import csv
 import json
+import pathlib
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -7,9 +8,11 @@ import pytest
 from fixtures import CUSTOMERS, PRODUCTS, SALES
 from pyspark.sql import functions as F
 
+from saleswright import storage
 from saleswright.functions import dates
-from saleswright.operators import merging, quality
+from saleswright.operators import cleaning, merging, modelling, quality
 from saleswright.plans import jobs, staging
+from saleswright.schemas import SALES_CSV
 from saleswright.sources import files, sinks
 from saleswright.sources.jdbc import JdbcWarehouse, KeyRange
 
@@ -65,16 +68,19 @@ def test_whole_run_and_rerun(spark, sources):
     assert report.counts["ingest"] == {"raw_sales": 12, "raw_customers": 4, "raw_products": 6}
     assert report.counts["clean"] == {
         "clean_sales": 5,
+        "clean_sales_removed": 7,
         "clean_customers": 3,
+        "clean_customers_removed": 1,
         "clean_products": 2,
+        "clean_products_removed": 4,
     }
     assert report.counts["model"]["fact_sales"] == 4
     assert report.counts["load"] == {"dim_customers": 3, "dim_products": 2, "fact_sales": 4}
     assert report.counts["summary"] == {"daily_sales_summary": 1}
     # The negative total fails the price rule, which is not critical.
-    # Eleven checks, and NOT NULL, lengths and decimals of three tables (the
+    # Eleven checks, and keys, NOT NULL, lengths and decimals of three tables (the
     # customers have no decimals).
-    assert (report.quality["total_checks"], report.quality["failed_checks"]) == (19, 1)
+    assert (report.quality["total_checks"], report.quality["failed_checks"]) == (22, 1)
     assert report.quality["alert_level"] == "NONE"
 
     raw = files.read_table(spark, first.table("raw_sales")).first()
@@ -96,8 +102,12 @@ def test_whole_run_and_rerun(spark, sources):
     assert {r.created_at.day for r in customers.collect()} == {1}
     assert {r.updated_at.day for r in customers.collect()} == {2}
     assert files.read_table(spark, second.table("warehouse/fact_sales")).count() == 4
-    log = files.read_table(spark, second.table("warehouse/data_quality_logs"))
-    assert log.groupBy("pipeline_run_id").count().collect()[0]["count"] == 19
+    log = jobs.quality_log(spark, second.table("warehouse/data_quality_logs"))
+    # The second run also checks the summary (three constraints more and its
+    # key) and the log (two and its key).
+    runs = {r.pipeline_run_id: r["count"] for r in log.groupBy("pipeline_run_id").count().collect()}
+    assert runs == {"run-1": 22, "run-2": 29}
+    assert sorted(r.log_id for r in log.collect()) == list(range(1, 52))
     days = files.read_table(spark, second.table("warehouse/daily_sales_summary"))
     assert [r.created_at.day for r in days.collect()] == [1]
 
@@ -114,6 +124,37 @@ def test_a_price_too_wide_for_the_warehouse_closes_the_gate(spark, sources, tmp_
     assert failed == {("fact_sales", "decimal_range"): 2, ("fact_sales", "not_null"): 1}
 
 
+def test_a_repaired_run_opens_the_gate(spark, sources, tmp_path):
+    """The quality stage may be repeated under its run id; the last outcome counts."""
+    cfg = config(sources, "run-1", "2024-08-01 06:00:00")
+    counts, tallies = jobs.run_to_quality(spark, cfg)
+    quality.enforce_gate(tallies)
+    checks = tallies.first().total_checks
+    path = cfg.table("warehouse/fact_sales")
+    fact = jobs.warehouse_table(spark, cfg, "fact_sales")
+    good = tmp_path / "good"
+    fact.write.parquet(str(good))
+    orphan = spark.read.parquet(str(good)).withColumn("customer_id", F.lit(99).cast("long"))
+    sinks.write_partitioned(orphan, path, "sale_date")
+    with pytest.raises(quality.QualityGateError):
+        quality.enforce_gate(jobs.run_quality(spark, cfg))
+    sinks.write_partitioned(spark.read.parquet(str(good)), path, "sale_date")
+    again = jobs.run_quality(spark, cfg)
+    quality.enforce_gate(again)
+    # The log itself is checked as well, now that there is one.
+    assert again.first().total_checks == checks + 3
+
+
+def test_nothing_is_left_behind(spark, sources, tmp_path):
+    before = set((p.name for p in _shared(spark).iterdir()))
+    jobs.run_all(spark, config(sources, "run-1", "2024-08-01 06:00:00"))
+    assert {p.name for p in _shared(spark).iterdir()} == before
+
+
+def _shared(spark):
+    return pathlib.Path(storage.shared_dir(spark))
+
+
 def test_failed_gate_stops_the_run(spark, sources, tmp_path):
     sources["sales_csv"] = write_csv(tmp_path / "none.csv", SALES_HEADER, [])
     with pytest.raises(quality.QualityGateError):
@@ -272,6 +313,19 @@ def test_table_can_be_replaced_from_itself(spark, tmp_path):
     assert spark.read.parquet(path).count() == 4
 
 
+def test_a_failed_replacement_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_table(spark.range(10), path)
+    broken = spark.range(5).select(F.raise_error(F.lit("no")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        sinks.replace_table(broken, path)
+    assert spark.read.parquet(path).count() == 10
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    # A switch that broke off in the middle is put right.
+    (tmp_path / "t").rename(tmp_path / "t.before")
+    assert jobs.open_if_present(spark, path).count() == 10
+
+
 def test_large_partition_is_cut_into_files(spark, tmp_path):
     day = F.when(F.col("id") % 3 == 0, F.lit("2024-01-01")).otherwise(F.lit("2024-01-02"))
     rows = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x"))
@@ -285,6 +339,40 @@ def test_large_partition_is_cut_into_files(spark, tmp_path):
     assert spark.read.parquet(str(path)).count() == 200_000
 
 
+def test_amounts_that_cannot_be_stored_are_named(spark):
+    """NaN, infinite and too wide prices and discounts are defects, not zeros."""
+    row = ("C1", "P1", "2024-03-01", 2)
+    given = [
+        (100.0, float("nan")), (100.0, float("inf")), (100.0, 1e300), (float("nan"), 1.0),
+        (float("inf"), 1.0), (1e300, None), (0.004, 1.0), (2e10, 2e10), (100.0, None),
+    ]
+    sales = spark.createDataFrame(
+        [(f"T{k}", *row, p, d, "CASH") for k, (p, d) in enumerate(given)], SALES_CSV
+    )
+    counts = {
+        r.outcome: r.records
+        for r in cleaning.count_rejects(sales, "transaction_id", cleaning.sales_rules()).collect()
+    }
+    assert {k: v for k, v in counts.items() if v} == {
+        "kept": 2, "unstorable_discount": 3, "unstorable_unit_price": 3, "bad_unit_price": 1,
+    }
+    kept = {r.transaction_id: r for r in cleaning.clean_sales(sales).collect()}
+    assert kept["T7"].total_amount == Decimal("24000000000.000")
+    assert kept["T7"].discount_amount == Decimal("20000000000.00")
+    assert kept["T8"].discount_amount == 0 and kept["T8"].total_amount == 220
+
+
+def test_each_dimension_is_joined_once_for_a_load(spark, sources):
+    cfg = config(sources, "run-1", "2024-08-01 06:00:00")
+    jobs.run_all(spark, cfg)
+    current = jobs.warehouse_table(spark, cfg, "fact_sales")
+    lake = spark.read.parquet(cfg.table("fact_sales"))
+    dims = [jobs.warehouse_table(spark, cfg, n) for n in ("dim_customers", "dim_products")]
+    rows = merging.rows_to_append(current, lake, "transaction_id")
+    plan = modelling.warehouse_fact(rows, *dims)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 2
+
+
 def test_jdbc_options():
     target = JdbcWarehouse("jdbc:postgresql://db/warehouse", {"user": "u", "driver": "d"})
     assert target.read_options("dim_customers", KeyRange("customer_id", 1, 100, 4)) == {
