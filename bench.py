@@ -33,6 +33,12 @@ HEADLINE = (
     "defects_sales",
     "sink_parquet_roundtrip",
     "quick_report",
+    "sink_partitioned_roundtrip",
+    "warehouse_fact",
+    "fact_append_idempotent",
+    "dim_scd1_merge",
+    "summary_upsert",
+    "profile_sources",
 )
 
 

@@ -57,6 +57,8 @@ class JobConfig:
     as_of: date | str
     date_formats: tuple[str, ...] = (dates.ISO_DATE,)
     customers_per_line: bool = False
+    #: Take the currency from wide sales files instead of the fixed one.
+    keep_currency: bool = False
 
     def table(self, name: str) -> str:
         return f"{self.lake.rstrip('/')}/{name}"
@@ -88,8 +90,9 @@ def open_if_present(spark: SparkSession, path: str) -> DataFrame | None:
 
 def run_ingest(spark: SparkSession, cfg: JobConfig) -> dict[str, int]:
     """Sources to the raw tables."""
+    sales = files.read_sales_csv(spark, cfg.sales_csv, wide=cfg.keep_currency)
     raw = {
-        "raw_sales": files.read_sales_csv(spark, cfg.sales_csv),
+        "raw_sales": sales.drop("sales_channel", "region"),
         "raw_customers": files.read_customers_json(
             spark, cfg.customers_json, document_per_line=cfg.customers_per_line
         ),
@@ -109,8 +112,10 @@ def run_cleaning(spark: SparkSession, cfg: JobConfig) -> dict[str, int]:
     def raw(name: str) -> DataFrame:
         return files.read_table(spark, cfg.table(name))
 
+    currency = F.col("currency") if cfg.keep_currency else None
+    sales = cleaning.clean_sales(raw("raw_sales"), cfg.date_formats, currency)
     clean = {
-        "clean_sales": cleaning.clean_sales(raw("raw_sales"), cfg.date_formats),
+        "clean_sales": sales.drop("currency"),
         "clean_customers": cleaning.clean_customers(raw("raw_customers")),
         "clean_products": cleaning.clean_products(raw("raw_products")),
     }

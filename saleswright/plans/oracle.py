@@ -1029,6 +1029,43 @@ WHERE place = 1
     )
     sql["sink_json_roundtrip"] = sql["daily_category_metrics"]
 
+    # batch runs
+    sql["batch_run"] = _with(
+        """
+SELECT 'ingest' AS stage, 'raw_sales' AS table_name, count(*) AS records FROM raw_sales
+UNION ALL SELECT 'ingest', 'raw_customers', count(*) FROM documents_flat
+UNION ALL SELECT 'ingest', 'raw_products', count(*) FROM raw_products
+UNION ALL SELECT 'clean', 'clean_sales', count(*) FROM clean_sales
+UNION ALL SELECT 'clean', 'clean_customers', count(*) FROM clean_customers
+UNION ALL SELECT 'clean', 'clean_products', count(*) FROM clean_products
+UNION ALL SELECT 'clean', 'clean_sales_removed',
+  count(*) - (SELECT count(*) FROM clean_sales) FROM raw_sales
+UNION ALL SELECT 'clean', 'clean_customers_removed',
+  count(*) - (SELECT count(*) FROM clean_customers) FROM documents_flat
+UNION ALL SELECT 'clean', 'clean_products_removed',
+  count(*) - (SELECT count(*) FROM clean_products) FROM raw_products
+UNION ALL SELECT 'model', 'dim_customers', count(*) FROM clean_customers
+UNION ALL SELECT 'model', 'dim_products', count(*) FROM clean_products
+UNION ALL SELECT 'model', 'fact_sales', count(*) FROM fact
+UNION ALL SELECT 'model', 'daily_category_metrics', count(*)
+  FROM (SELECT DISTINCT sale_date, product_category FROM fact)
+UNION ALL SELECT 'model', 'customer_metrics', count(*)
+  FROM (SELECT DISTINCT customer_code, customer_segment FROM fact)
+UNION ALL SELECT 'load', 'dim_customers', count(*) FROM clean_customers
+UNION ALL SELECT 'load', 'dim_products', count(*) FROM clean_products
+UNION ALL SELECT 'load', 'fact_sales', count(*) FROM fact
+UNION ALL SELECT 'quality', 'gate_closed', CAST(count(*) > 0 AS BIGINT) FROM stored_fact
+  WHERE unit_price IS NULL OR total_amount IS NULL""",
+        "stored_fact",
+    )
+    sql["batch_rerun"] = _with(
+        f"""
+SELECT * REPLACE ({as_double}, nullif(payment_method, '') AS payment_method,
+  CASE WHEN substr(transaction_id, 22, 1) < '5' THEN {EARLIER_TS} ELSE {RUN_TS} END AS created_at)
+FROM stored_fact""",
+        "stored_fact",
+    )
+
     # composite
     sql["quick_report"] = _with(
         f"""

@@ -21,6 +21,16 @@ SALES_CSV = T.StructType(
     ]
 )
 
+#: Columns that wide sales files have besides.
+WIDE_SALES_CSV = T.StructType(
+    [
+        *SALES_CSV.fields,
+        T.StructField("currency", T.StringType()),
+        T.StructField("sales_channel", T.StringType()),
+        T.StructField("region", T.StringType()),
+    ]
+)
+
 PRODUCTS_CSV = T.StructType(
     [
         T.StructField("product_code", T.StringType()),

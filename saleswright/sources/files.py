@@ -7,7 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from saleswright.schemas import CUSTOMERS_JSON, PRODUCTS_CSV, SALES_CSV, SUPPLIERS_CSV
+from saleswright.schemas import (
+    CUSTOMERS_JSON,
+    PRODUCTS_CSV,
+    SALES_CSV,
+    SUPPLIERS_CSV,
+    WIDE_SALES_CSV,
+)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -19,8 +25,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, SALES_CSV)
+def read_sales_csv(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
+    """Sales; ``wide`` also reads the columns that only wide files have."""
+    return read_csv(spark, path, WIDE_SALES_CSV if wide else SALES_CSV)
 
 
 def read_products_csv(spark: SparkSession, path: str) -> DataFrame:

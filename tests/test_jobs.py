@@ -1,6 +1,7 @@
 import csv
 import json
 import pathlib
+from dataclasses import replace
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -155,6 +156,15 @@ def _shared(spark):
     return pathlib.Path(storage.shared_dir(spark))
 
 
+def test_the_source_currency_may_be_kept(spark, sources):
+    cfg = replace(config(sources, "run-1", "2024-08-01 06:00:00"), keep_currency=True)
+    jobs.run_ingest(spark, cfg)
+    jobs.run_cleaning(spark, cfg)
+    clean = spark.read.parquet(cfg.table("clean_sales"))
+    assert {r.currency_code for r in clean.collect()} == {"PEN"}
+    assert "currency" not in clean.columns
+
+
 def test_failed_gate_stops_the_run(spark, sources, tmp_path):
     sources["sales_csv"] = write_csv(tmp_path / "none.csv", SALES_HEADER, [])
     with pytest.raises(quality.QualityGateError):
