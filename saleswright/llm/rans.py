@@ -15,8 +15,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-LANES = 512
-BLOCK_TOKENS = 1 << 18
+LANES = 1024
+BLOCK_TOKENS = 1 << 19
 SEGMENT_TOKENS = 1 << 21
 CHECKPOINT_STEPS = 256
 _LOW = np.uint64(1 << 31)
@@ -75,10 +75,12 @@ def encode_block(ids: np.ndarray, table: Table, lanes: int = LANES) -> Block:
     n = len(ids)
     lanes = max(1, min(lanes, n))
     steps = -(-n // lanes)
-    at = np.searchsorted(table.symbols, ids)
+    at = np.zeros(int(table.symbols[-1]) + 1 if n else 0, np.uint32)
+    at[table.symbols] = np.arange(len(table.symbols))
+    at = at[ids]
     freqs = table.freqs.astype(np.uint64)[at]
     starts = table.starts.astype(np.uint64)[at]
-    bits, room = np.uint64(table.bits), np.uint64(63 - table.bits)
+    scale, room = np.uint64(1 << table.bits), np.uint64(63 - table.bits)
     state = np.full(lanes, _LOW, np.uint64)
     chunks: list[np.ndarray] = []
     states: list[np.ndarray] = []
@@ -87,13 +89,14 @@ def encode_block(ids: np.ndarray, table: Table, lanes: int = LANES) -> Block:
     for step in range(steps - 1, -1, -1):
         lo, hi = step * lanes, min(n, (step + 1) * lanes)
         f, x = freqs[lo:hi], state[: hi - lo]
-        full = x >= (f << room)
+        full = np.flatnonzero(x >= (f << room))
         out = x[full]
         chunks.append(out.astype(np.uint32))
         total += len(out)
-        x = np.where(full, x >> _WORD, x)
-        whole, rest = np.divmod(x, f)
-        state[: hi - lo] = (whole << bits) + rest + starts[lo:hi]
+        x[full] = out >> _WORD
+        whole = x // f
+        # whole * 2^bits + x mod f + the symbol's first slot
+        x += whole * (scale - f) + starts[lo:hi]
         if step % CHECKPOINT_STEPS == 0:
             states.append(state.copy())
             given.append(total)

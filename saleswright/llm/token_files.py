@@ -6,6 +6,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from struct import pack
 
 import numpy as np
 import public_tokenizers
@@ -16,19 +17,75 @@ from pyspark.sql import functions as F
 
 from saleswright.llm import rans
 from saleswright.llm.common import table
-from saleswright.llm.pieces import MEMO_UNITS
 from saleswright.storage import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
+#: Units whose ids a worker remembers, twice: the newer and the older ones.
+MEMO_UNITS = 1 << 19
 #: Texts that are split before the units new to the worker are encoded together.
-_TEXTS = 256
+_TEXTS = 512
+#: Units that are encoded as one text.
+_JOINED = 64
 
 #: The pre-tokenizer always cuts before a single blank between other characters.
 _CUT = re.compile(r"(?<=[^\s᠎]) (?=[^\s᠎])")
 _BLANKS = re.compile(r"[\s᠎][\s᠎]")
 
 
+class _Units:
+    """Ids of units that begin alike; units not met for long are forgotten."""
+
+    def __init__(self, tokenizer, before: str):
+        self.tokenizer, self.before = tokenizer, before
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        names = tokenizer.get_vocab()
+        #: Ids of tokens that begin with a blank, as the byte alphabet writes it.
+        self.opens = {i for name, i in names.items() if name.startswith("Ġ")}
+
+    def ids(self, units: list[str]) -> list[bytes]:
+        """Little-endian ids of each unit."""
+        if len(self.known) > MEMO_UNITS:
+            self.known, self.older = {}, self.known
+        found = list(map(self.known.get, units))
+        if None in found:
+            self._learn({u for u, x in zip(units, found) if x is None})
+            known = self.known
+            found = [known[u] if x is None else x for u, x in zip(units, found)]
+        return found
+
+    def _learn(self, units: set[str]) -> None:
+        joined, alone = [], []
+        for unit in units:
+            before = self.older.get(unit)
+            if before is not None:
+                self.known[unit] = before
+            elif self.before and unit.strip("᠎") == unit and unit.split() == [unit]:
+                joined.append(unit)
+            else:
+                alone.append(unit)
+        coded = self.tokenizer.encode_batch_fast(
+            [self.before + u for u in alone], add_special_tokens=False
+        )
+        for unit, found in zip(alone, coded):
+            self._keep(unit, found.ids)
+        # Units without white space in or around them are cut apart again where
+        # a token begins with a blank, so many are encoded as one text.
+        groups = [joined[k : k + _JOINED] for k in range(0, len(joined), _JOINED)]
+        coded = self.tokenizer.encode_batch_fast(
+            [" " + " ".join(group) for group in groups], add_special_tokens=False
+        )
+        for group, found in zip(groups, coded):
+            ids = found.ids
+            starts = [k for k, i in enumerate(ids) if i in self.opens]
+            for unit, a, b in zip(group, starts, [*starts[1:], len(ids)], strict=True):
+                self._keep(unit, ids[a:b])
+
+    def _keep(self, unit: str, ids: list[int]) -> None:
+        self.known[unit] = pack(f"<{len(ids)}I", *ids)
+
+
 class Tokens:
     """Ids of texts by the tokenizer, which sees each unit of a text once.
 
@@ -43,8 +100,8 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.spaced: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}
+        self.spaced = _Units(self.tokenizer, " ")
+        self.bare = _Units(self.tokenizer, "")
 
     @staticmethod
     def _lines(text: str) -> list[list[str]]:
@@ -52,28 +109,26 @@ class Tokens:
             return [_CUT.split(text)]
         return [line.split(" ") for line in text.split("\n")]
 
-    def _learn(self, memo: dict[str, bytes], units: set[str], before: str) -> None:
-        new = [u for u in units if u not in memo]
-        if len(memo) + len(new) > MEMO_UNITS:
-            memo.clear()
-            new = list(units)
-        coded = self.tokenizer.encode_batch_fast([before + u for u in new], add_special_tokens=False)
-        for unit, found in zip(new, coded):
-            memo[unit] = np.array(found.ids, "<u4").tobytes()
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [self._lines(text) for text in texts]
-        self._learn(self.bare, {line[0] for lines in split for line in lines} | {"\n"}, "")
-        self._learn(self.spaced, {u for lines in split for line in lines for u in line[1:]}, " ")
-        bare, spaced = self.bare, self.spaced
-        newline = bare["\n"]
-        return [
-            newline.join(
-                [bare[line[0]] + b"".join([spaced[u] for u in line[1:]]) for line in lines]
-            )
-            for lines in split
-        ]
+        newline, *bare = self.bare.ids(["\n", *[line[0] for lines in split for line in lines]])
+        words: list[str] = []
+        for lines in split:
+            for line in lines:
+                words += line[1:]
+        spaced = self.spaced.ids(words)
+        firsts = iter(bare)
+        found = []
+        at = 0
+        for lines in split:
+            coded = []
+            for line in lines:
+                end = at + len(line) - 1
+                coded.append(next(firsts) + b"".join(spaced[at:end]))
+                at = end
+            found.append(newline.join(coded))
+        return found
 
 
 _TOKENS: dict[int, Tokens] = {}

@@ -62,7 +62,7 @@ def test_size_is_near_the_entropy():
 
 
 def test_damage_is_seen():
-    block, table = coded(np.arange(3000, dtype=np.uint32) % 700)
+    block, table = coded(np.arange(3000, dtype=np.uint32) % 700, 32)
     words = bytearray(block.words)
     words[10] ^= 1
     with pytest.raises(rans.CorruptBlock):
