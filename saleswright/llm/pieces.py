@@ -82,14 +82,19 @@ def units(text: str, cuts_at_blanks: bool) -> list[str]:
 
 
 class Memo(dict):
-    """Results by unit, made on demand and forgotten when there are many."""
+    """Results by unit, made on demand; those not asked for lately are forgotten."""
 
-    def __init__(self, make: Callable[[str], object], most: int = MEMO_UNITS):
+    def __init__(self, make: Callable, most: int = MEMO_UNITS):
         super().__init__()
         self.make, self.most = make, most
+        self.older: dict = {}
 
-    def __missing__(self, unit: str):
+    def __missing__(self, unit):
+        found = self.older.get(unit)
+        if found is None:
+            found = self.make(unit)
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        found = self[unit] = self.make(unit)
+        self[unit] = found
         return found
