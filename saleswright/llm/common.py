@@ -67,6 +67,8 @@ def attach(
     ``HOT_PARTS`` groups above ``total / HOT_PARTS`` are broadcast; their rows,
     and rows without a key, are dealt over all partitions of the shuffled join
     that answers the rest. Columns of ``groups`` other than the keys are added.
+    ``rows`` should be read from files: then a repeated task deals its rows the
+    same way again.
     """
     keys = list(keys)
     payload = [c for c in groups.columns if c not in keys]

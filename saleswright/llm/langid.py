@@ -20,12 +20,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from saleswright.llm.common import carried, crc_rest, table, text_bytes
+from saleswright.storage import materialize
 
 BUCKETS = 1 << 13
 GRAMS = (1, 2, 3)
 LANDMARKS = 128
 #: Rows the classifier is fitted on, over all languages; documented bound.
 FIT_ROWS = 4096
+#: Languages up to which the sample is even.
+LANGUAGES = 10_000
 RIDGE = 1e-2
 UNKNOWN = "und"
 #: Texts whose presence rows are multiplied at a time.
@@ -98,32 +101,33 @@ def fit(rows: np.ndarray, languages: Sequence[str]) -> LanguageModel:
     )
 
 
-def _sampled(docs: DataFrame, fit_rows: int) -> DataFrame:
-    """About equally many rows of every language, ``fit_rows`` at most in all."""
-    counts = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    share = F.col("langs").cast("double") * F.col("n") / (1.5 * fit_rows)
-    langs = counts.agg(F.count(F.lit(1)).alias("langs"))
-    draw = (F.xxhash64("text").bitwiseAND(F.lit((1 << 30) - 1)) / float(1 << 30)).alias("draw")
-    return (
-        docs.withColumn("draw", draw)
-        .join(counts.crossJoin(langs).select("lang", share.alias("share")), "lang")
-        .filter(F.col("draw") * F.col("share") < 1)
-        .withColumn("order", F.col("draw") * F.col("share"))
-        .orderBy("order", F.xxhash64("text", "lang"))
-        .limit(fit_rows)
-    )
+def _drawn(docs: DataFrame, fit_rows: int) -> DataFrame:
+    """A little more than ``fit_rows`` rows, about equally many of every language.
+
+    Only the languages' counts are broadcast, if there are at most
+    ``LANGUAGES``; with more, rows are drawn whatever their language.
+    """
+    counts = materialize(docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    languages, total = counts.count(), counts.agg(F.sum("n")).first()[0] or 0
+    draw = F.xxhash64("text").bitwiseAND(F.lit((1 << 30) - 1)) / float(1 << 30)
+    if languages > LANGUAGES:
+        docs = docs.withColumn("n", F.lit(total)).withColumn("order", draw * total / (1.5 * fit_rows))
+    else:
+        share = F.col("n") * languages / (1.5 * fit_rows)
+        docs = docs.join(F.broadcast(counts), "lang").withColumn("order", draw * share)
+    return docs.filter("order < 1").select("lang", "text", "order")
 
 
 def train(docs: DataFrame, learn: Column, fit_rows: int = FIT_ROWS) -> LanguageModel | None:
     """Fit on a bounded sample of the rows that may be learned from.
 
-    Presence rows are made on the executors; the driver gets one bit for each
-    bucket and row, ``fit_rows`` times ``BUCKETS / 8`` bytes at most. ``docs``
+    Presence rows are made on the executors; one bit for each bucket travels,
+    and the driver gets ``fit_rows`` times ``BUCKETS / 8`` bytes at most. ``docs``
     has ``text`` (bytes) and ``lang``. None if there is nothing to learn from.
     """
-    rows = _sampled(
+    rows = _drawn(
         docs.filter(learn & F.col("lang").isNotNull() & (F.octet_length("text") > 0)), fit_rows
-    ).select("lang", "text")
+    )
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,11 +136,11 @@ def train(docs: DataFrame, learn: Column, fit_rows: int = FIT_ROWS) -> LanguageM
                 row = np.zeros(BUCKETS, bool)
                 row[presence(text.as_py())] = True
                 bits.append(np.packbits(row).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("lang"), pa.array(bits, pa.binary())], ["lang", "bits"]
-            )
+            columns = [batch.column("lang"), batch.column("order"), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "order", "bits"])
 
-    found = rows.mapInArrow(packed, "lang string, bits binary").collect()
+    made = rows.mapInArrow(packed, "lang string, order double, bits binary")
+    found = made.orderBy("order", "lang", "bits").limit(fit_rows).collect()
     if not found:
         return None
     bits = np.unpackbits(np.frombuffer(b"".join(r.bits for r in found), np.uint8))
