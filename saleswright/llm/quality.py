@@ -39,12 +39,19 @@ KEEP_SCORE = 0.7
 _AGAIN = BUCKETS - 1
 
 
-def features(word: bytes) -> list[int]:
-    """Buckets of a word and of the n-grams of its bytes between two marks."""
+def bucket(feature: bytes) -> int:
+    return xxhash.xxh32_intdigest(feature) % _AGAIN
+
+
+def grams(word: bytes) -> list[bytes]:
+    """The different n-grams of a word's bytes between two marks."""
     marked = b"<" + word + b">"
-    grams = {marked[i : i + n] for n in GRAM_BYTES for i in range(len(marked) - n + 1)}
-    digest = xxhash.xxh32_intdigest
-    return [digest(b"w" + word) % _AGAIN] + [digest(g) % _AGAIN for g in sorted(grams)]
+    return list(dict.fromkeys([marked[i : i + n] for n in GRAM_BYTES for i in range(len(marked) - n + 1)]))
+
+
+def features(word: bytes) -> list[int]:
+    """Buckets of a word and of its n-grams."""
+    return [bucket(b"w" + word), *map(bucket, grams(word))]
 
 
 def bag(data: bytes, memo: Memo) -> tuple[np.ndarray, np.ndarray]:
@@ -104,10 +111,15 @@ class Scorer:
     def __init__(self, model: QualityModel):
         self.model = model
         self.memo = Memo(self._word)
+        self.grams = Memo(self._weight)
+
+    def _weight(self, feature: bytes) -> float:
+        return float(self.model.weights[bucket(feature)])
 
     def _word(self, word: bytes) -> tuple[float, int]:
-        buckets = features(word)
-        return float(self.model.weights[buckets].sum()), len(buckets)
+        found = grams(word)
+        total = self._weight(b"w" + word) + sum(map(self.grams.__getitem__, found))
+        return total, len(found) + 1
 
     def score(self, data: bytes) -> float:
         """Probability of label 1."""
