@@ -102,20 +102,23 @@ def fit(rows: np.ndarray, languages: Sequence[str]) -> LanguageModel:
 
 
 def _drawn(docs: DataFrame, fit_rows: int) -> DataFrame:
-    """A little more than ``fit_rows`` rows, about equally many of every language.
+    """A little more than ``fit_rows`` texts, about equally many of every language.
 
-    Only the languages' counts are broadcast, if there are at most
-    ``LANGUAGES``; with more, rows are drawn whatever their language.
+    A text counts once for each language, by its hash; rows of a drawn text all
+    come. Only the languages' counts are broadcast, if there are at most
+    ``LANGUAGES``; with more, texts are drawn whatever their language.
     """
-    counts = materialize(docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    docs = docs.withColumn("hash", F.xxhash64("text"))
+    texts = docs.groupBy("lang", "hash").agg(F.lit(1).alias("one"))
+    counts = materialize(texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
     languages, total = counts.count(), counts.agg(F.sum("n")).first()[0] or 0
-    draw = F.xxhash64("text").bitwiseAND(F.lit((1 << 30) - 1)) / float(1 << 30)
+    draw = F.col("hash").bitwiseAND(F.lit((1 << 30) - 1)) / float(1 << 30)
     if languages > LANGUAGES:
         docs = docs.withColumn("n", F.lit(total)).withColumn("order", draw * total / (1.5 * fit_rows))
     else:
         share = F.col("n") * languages / (1.5 * fit_rows)
         docs = docs.join(F.broadcast(counts), "lang").withColumn("order", draw * share)
-    return docs.filter("order < 1").select("lang", "text", "order")
+    return docs.filter("order < 1").select("lang", "text", "hash", "order")
 
 
 def train(docs: DataFrame, learn: Column, fit_rows: int = FIT_ROWS) -> LanguageModel | None:
@@ -130,17 +133,27 @@ def train(docs: DataFrame, learn: Column, fit_rows: int = FIT_ROWS) -> LanguageM
     )
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            bits = []
-            for text in batch.column("text"):
+            new, bits = [], []
+            keys = zip(batch.column("lang").to_pylist(), batch.column("hash").to_pylist())
+            for k, key in enumerate(keys):
+                if key in seen:
+                    continue
+                seen.add(key)
                 row = np.zeros(BUCKETS, bool)
-                row[presence(text.as_py())] = True
+                row[presence(batch.column("text")[k].as_py())] = True
+                new.append(k)
                 bits.append(np.packbits(row).tobytes())
-            columns = [batch.column("lang"), batch.column("order"), pa.array(bits, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "order", "bits"])
-
-    made = rows.mapInArrow(packed, "lang string, order double, bits binary")
-    found = made.orderBy("order", "lang", "bits").limit(fit_rows).collect()
+            some = batch.select(["lang", "hash", "order"]).take(pa.array(new, pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [*some.columns, pa.array(bits, pa.binary())], ["lang", "hash", "order", "bits"]
+            )
+
+    made = rows.mapInArrow(packed, "lang string, hash long, order double, bits binary")
+    # Copies that several tasks have met.
+    once = made.groupBy("lang", "hash").agg(F.min("order").alias("order"), F.min("bits").alias("bits"))
+    found = once.orderBy("order", "lang", "bits").limit(fit_rows).collect()
     if not found:
         return None
     bits = np.unpackbits(np.frombuffer(b"".join(r.bits for r in found), np.uint8))

@@ -1,0 +1,18 @@
+"""Copies do not crowd out what else there is; n-grams are whole characters."""
+
+from pyspark.sql import functions as F
+
+from saleswright.llm import langid
+from saleswright.llm.common import text_bytes
+
+
+def test_copies_count_once_in_the_language_sample(docs, monkeypatch):
+    """A text with hundreds of copies takes one place of the sample, whatever its hash."""
+    rows = [(k, f"the dog number {k}", "en") for k in range(20)]
+    rows += [(k, f"der hund nummer {k}", "de") for k in range(20, 40)]
+    rows += [(k, f"copy {k % 10}", "en") for k in range(40, 1040)]
+    fitted = []
+    monkeypatch.setattr(langid, "fit", lambda matrix, languages: fitted.append(list(languages)))
+    table = docs(rows).select("lang", text_bytes("text").alias("text"))
+    langid.train(table, F.lit(True), 100)
+    assert sorted(fitted[0]) == ["de"] * 20 + ["en"] * 30
