@@ -24,7 +24,7 @@ from saleswright.llm.pieces import Memo
 
 BUCKETS = 1 << 15
 SIZE = 8
-GRAM_BYTES = (2, 3, 4)
+GRAM_CHARS = (2, 3, 4)
 #: Labelled rows the classifier is fitted on; documented bound.
 FIT_ROWS = 6000
 EPOCHS = 12
@@ -44,9 +44,16 @@ def bucket(feature: bytes) -> int:
 
 
 def grams(word: bytes) -> list[bytes]:
-    """The different n-grams of a word's bytes between two marks."""
+    """The different n-grams of a word's characters between two marks, in UTF-8.
+
+    A byte that belongs to no character counts as one.
+    """
     marked = b"<" + word + b">"
-    return list(dict.fromkeys([marked[i : i + n] for n in GRAM_BYTES for i in range(len(marked) - n + 1)]))
+    if not marked.isascii():
+        text = marked.decode("utf-8", "surrogateescape")
+        found = dict.fromkeys([text[i : i + n] for n in GRAM_CHARS for i in range(len(text) - n + 1)])
+        return [gram.encode("utf-8", "surrogateescape") for gram in found]
+    return list(dict.fromkeys([marked[i : i + n] for n in GRAM_CHARS for i in range(len(marked) - n + 1)]))
 
 
 def features(word: bytes) -> list[int]:

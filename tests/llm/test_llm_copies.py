@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from saleswright.llm import langid
+from saleswright.llm import langid, quality
 from saleswright.llm.common import text_bytes
 
 
@@ -16,3 +16,11 @@ def test_copies_count_once_in_the_language_sample(docs, monkeypatch):
     table = docs(rows).select("lang", text_bytes("text").alias("text"))
     langid.train(table, F.lit(True), 100)
     assert sorted(fitted[0]) == ["de"] * 20 + ["en"] * 30
+
+
+def test_grams_are_of_characters():
+    assert quality.grams("\u4f60\u597d".encode()) == [
+        x.encode() for x in ("<\u4f60", "\u4f60\u597d", "\u597d>", "<\u4f60\u597d", "\u4f60\u597d>", "<\u4f60\u597d>")
+    ]
+    assert quality.grams(b"ab") == [b"<a", b"ab", b"b>", b"<ab", b"ab>", b"<ab>"]
+    assert quality.grams(b"\xff") == [b"<\xff", b"\xff>", b"<\xff>"]
