@@ -184,7 +184,8 @@ def contamination(
     a shorter item is one window, an item without words is none. Each document
     is scanned once by an automaton over the windows as word sequences; a
     benchmark of more than ``automaton_bytes`` is dealt over several automata
-    of at most about that size, one scan each, and the hits are united. Null
+    of at most about that size, one scan each, and the hits are united; equal
+    rows of the benchmark are one. Null
     texts have no words; items with a null id hit words but are not listed;
     rows with one item id are one item; an empty benchmark hits nothing.
 
@@ -195,6 +196,7 @@ def contamination(
     items = benchmark.select(
         F.col(item_col).cast("string").alias("item"), text_bytes(item_text_col).alias("text")
     )
+    items = materialize(items.distinct(), "items")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-size // automaton_bytes) or 1
     rows = docs.select(

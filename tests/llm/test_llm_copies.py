@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from saleswright.llm import langid, quality
+from saleswright.llm import decontaminate, langid, quality
 from saleswright.llm.common import text_bytes
 
 
@@ -24,3 +24,18 @@ def test_grams_are_of_characters():
     ]
     assert quality.grams(b"ab") == [b"<a", b"ab", b"b>", b"<ab", b"ab>", b"<ab>"]
     assert quality.grams(b"\xff") == [b"<\xff", b"\xff>", b"<\xff>"]
+
+
+def test_equal_benchmark_rows_are_one_item(spark, docs, monkeypatch):
+    """Copies neither fill an automaton nor add scans."""
+    passage = " ".join(f"word{k}" for k in range(20))
+    bench = [(1, passage)] * 300 + [(2, "a short item"), (None, passage)]
+    benchmark = spark.createDataFrame(bench, "item_id long, text string").repartition(3)
+    scans, scan = [], decontaminate._scan_with
+    monkeypatch.setattr(
+        decontaminate, "_scan_with", lambda rows, items: scans.append(items) or scan(rows, items)
+    )
+    rows = docs([(1, f"before {passage} after"), (2, "nothing"), (3, "a short item")])
+    found = decontaminate.contamination(rows, benchmark, automaton_bytes=1000).collect()
+    assert [len(items) for items in scans] == [3]
+    assert {r.doc_id: (r.n_hit, r.item_ids) for r in found} == {1: (20, ["1"]), 2: (0, []), 3: (3, ["2"])}
