@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from saleswright.llm import (
+    conversation_trie,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     langid,
+    line_dedup,
     lm,
     quality,
     repeats,
@@ -33,6 +36,9 @@ _QUERIES: dict[str, Query] = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_lm": lm.op9_lm,
     "op10_simhash": simhash.op10_simhash,
+    "op11_prefix_trie": conversation_trie.op11_prefix_trie,
+    "op12_line_dedup": line_dedup.op12_line_dedup,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 
@@ -54,4 +60,7 @@ def oracle_queries() -> dict[str, str]:
     return {
         "op2_decontaminate": decontaminate.ORACLE_SQL,
         "op5_exact_dedup": exact_dedup.ORACLE_SQL,
+        "op11_prefix_trie": conversation_trie.ORACLE_SQL,
+        "op12_line_dedup": line_dedup.ORACLE_SQL,
+        "op13_hard_negatives": hard_negatives.ORACLE_SQL,
     }
