@@ -25,6 +25,11 @@ def unstorable(value: Column) -> Column:
     return value.isNotNull() & price(value).isNull()
 
 
+def storable(value: Column) -> Column:
+    """Absent, or an exact decimal; the opposite of :func:`unstorable`, in one mention."""
+    return price(F.coalesce(value, F.lit(0.0))).isNotNull()
+
+
 def or_zero(value: Column) -> Column:
     """Zero for an absent value only; one that cannot be stored stays unknown."""
     return F.when(value.isNull(), F.lit(0).cast(PRICE)).otherwise(price(value))

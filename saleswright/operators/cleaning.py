@@ -33,6 +33,24 @@ def sales_rules(formats: Sequence[str] = (dates.ISO_DATE,)) -> Rules:
     }
 
 
+def valid_sales(formats: Sequence[str] = (dates.ISO_DATE,)) -> Column:
+    """Whether a row meets all of :func:`sales_rules`, with every input named once.
+
+    The optimizer writes the expression behind a column out at each mention, and
+    a filter that grows beyond what the JVM compiles is interpreted. A price
+    above zero can be stored, so that needs no condition of its own.
+    """
+    return (
+        F.col("transaction_id").isNotNull()
+        & F.col("customer_code").isNotNull()
+        & F.col("product_code").isNotNull()
+        & (F.col("quantity") > 0)
+        & (money.price(F.col("unit_price")) > 0)
+        & money.storable(F.col("discount"))
+        & dates.parse_date(F.col("sale_date"), formats).isNotNull()
+    )
+
+
 def customer_rules() -> Rules:
     return {
         "missing_customer_code": F.col("customer_code").isNotNull(),
@@ -55,6 +73,18 @@ def product_rules() -> Rules:
     }
 
 
+def valid_products() -> Column:
+    """Whether a row meets all of :func:`product_rules`; a cost above zero bounds the price."""
+    cost = money.price(F.col("cost_price"))
+    return (
+        F.col("product_code").isNotNull()
+        & F.col("product_name").isNotNull()
+        & (cost > 0)
+        & (cost <= money.price(F.col("unit_price")))
+        & (F.col("weight_kg") > 0)
+    )
+
+
 def keep_valid(df: DataFrame, rules: Rules) -> DataFrame:
     """Rows that meet every rule; an unknown outcome counts as a failure."""
     return df.where(reduce(lambda a, b: a & b, rules.values()))
@@ -68,10 +98,8 @@ def first_defect(rules: Rules) -> Column:
     return F.coalesce(*broken)
 
 
-def _valid_unique(df: DataFrame, key: str, rules: Rules) -> DataFrame:
-    # A valid copy always wins over an invalid one, so the filter may come
-    # first and the shuffle carries valid rows only.
-    return one_per_key(keep_valid(df, rules), [key])
+# A valid copy always wins over an invalid one, so the filters below may come
+# first and the shuffles carry valid rows only.
 
 
 def clean_sales(
@@ -85,7 +113,7 @@ def clean_sales(
     the fixed currency, for instance with the source's own column.
     """
     unit_price, quantity, discount = F.col("unit_price"), F.col("quantity"), F.col("discount")
-    rows = _valid_unique(df, "transaction_id", sales_rules(formats))
+    rows = one_per_key(df.where(valid_sales(formats)), ["transaction_id"])
     return rows.withColumns(
         {
             "sale_date": dates.parse_date(F.col("sale_date"), formats),
@@ -103,7 +131,7 @@ def clean_sales(
 
 def clean_customers(df: DataFrame) -> DataFrame:
     """Valid customers, one per code, with standard text, email, phone and date."""
-    rows = _valid_unique(df, "customer_code", customer_rules())
+    rows = one_per_key(keep_valid(df, customer_rules()), ["customer_code"])
     titled = ("first_name", "last_name", "country", "city")
     return rows.withColumns(
         {
@@ -118,7 +146,7 @@ def clean_customers(df: DataFrame) -> DataFrame:
 
 def clean_products(df: DataFrame) -> DataFrame:
     """Valid products, one per code, with standard text and exact prices."""
-    rows = _valid_unique(df, "product_code", product_rules())
+    rows = one_per_key(df.where(valid_products()), ["product_code"])
     titled = ("product_name", "category", "subcategory", "brand")
     return rows.withColumns(
         {

@@ -1,3 +1,6 @@
+import math
+import os
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -7,7 +10,9 @@ from pyspark.sql import functions as F
 
 from saleswright.functions import dates, money
 from saleswright.operators import cleaning, dedup
+from saleswright.plans import staging
 from saleswright.schemas import PRODUCTS_CSV, SALES_CSV
+from saleswright.session import temporary_conf
 
 
 @pytest.fixture(scope="module")
@@ -92,11 +97,41 @@ def test_rejects_account_for_every_row(sales):
         "missing_customer_code": 1,
         "missing_product_code": 0,
         "bad_quantity": 1,
+        "unstorable_unit_price": 0,
         "bad_unit_price": 1,
+        "unstorable_discount": 0,
         "bad_sale_date": 3,
     }
 
 
+NUMBERS = (None, 0.0, -0.004, 0.004, 0.005, 1.0, -3.0, 1e13, 1e14, 1e300, math.nan, math.inf, -math.inf)
+
+
+def test_filters_agree_with_the_rules(spark):
+    """The short filters keep exactly the rows that break no rule."""
+    codes = [("T", "C", "P"), (None, "C", "P"), ("T", None, "P"), ("T", "C", None)]
+    rows = [(*c, "2024-01-02", 1, x, y) for c in codes for x in NUMBERS for y in NUMBERS]
+    rows += [("T", "C", "P", day, q, 1.0, 0.0) for day in ("x", None, "2024-02-30") for q in (None, 0, 1)]
+    sales = spark.createDataFrame(
+        rows,
+        "transaction_id string, customer_code string, product_code string, sale_date string, "
+        "quantity int, unit_price double, discount double",
+    )
+    products = sales.select(
+        "product_code", F.col("customer_code").alias("product_name"), "unit_price",
+        F.col("discount").alias("cost_price"), F.col("quantity").cast("double").alias("weight_kg"),
+    )
+    for df, short, rules in (
+        (sales, cleaning.valid_sales(), cleaning.sales_rules()),
+        (products, cleaning.valid_products(), cleaning.product_rules()),
+    ):
+        both = df.select(
+            F.coalesce(short, F.lit(False)).alias("kept"), cleaning.first_defect(rules).alias("defect")
+        ).collect()
+        assert any(r.kept for r in both)
+        assert all(r.kept == (r.defect is None) for r in both)
+
+
 def test_clean_customers_golden(customers):
     rows = by_key(cleaning.clean_customers(customers), "customer_code")
     assert set(rows) == {"C1", "C2", "C3"}
@@ -165,3 +200,15 @@ def test_amounts_round_half_up(spark):
     ).first()
     assert (row.p, row.t) == (Decimal("2.68"), None)
     assert row.m == pytest.approx(1.68 / 2.68)
+
+
+def test_filter_is_small_enough_to_be_compiled(spark):
+    """The JVM interprets methods of more than 8,000 bytes."""
+    folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(folder):
+        pytest.skip("no test data")
+    with temporary_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        plan = cleaning.clean_sales(staging.raw_sales(spark, folder))._jdf.queryExecution()
+        told = spark._jvm.PythonSQLUtils.explainString(plan, "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", told)]
+    assert sizes and max(sizes) < 8000

@@ -134,6 +134,11 @@ def test_constraints(spark):
         "transaction_id": 1,
         "quantity": 1,
         "unit_price": 0,
+        # Absent columns: every row lacks them.
+        "sale_id": 2,
+        "sale_date": 2,
+        "sale_timestamp": 2,
+        "total_amount": 2,
     }
     assert violations(constraints.overlong_texts(df, "f", specs)) == {
         "transaction_id": 1,
