@@ -35,11 +35,18 @@ def add_ingestion_metadata(
 ) -> DataFrame:
     """Ingestion time and source file.
 
-    Without a given name the file each row was read from is recorded; that
-    needs ``df`` to be a file scan.
+    Without a given name the file each row was read from is recorded: the
+    column ``source_file`` if ``df`` has one, else that of the file scan that
+    ``df`` then has to be.
     """
-    source = F.col("_metadata.file_name") if source_file is None else F.lit(source_file)
-    return df.select("*", run_ts.alias("ingestion_timestamp"), source.alias("source_file"))
+    others = [c for c in df.columns if c != "source_file"]
+    if source_file is not None:
+        source = F.lit(source_file)
+    elif len(others) < len(df.columns):
+        source = F.col("source_file")
+    else:
+        source = F.col("_metadata.file_name")
+    return df.select(*others, run_ts.alias("ingestion_timestamp"), source.alias("source_file"))
 
 
 def add_default_columns(df: DataFrame, defaults: dict[str, Column]) -> DataFrame:

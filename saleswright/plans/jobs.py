@@ -94,7 +94,10 @@ def run_ingest(spark: SparkSession, cfg: JobConfig) -> dict[str, int]:
     raw = {
         "raw_sales": sales.drop("sales_channel", "region"),
         "raw_customers": files.read_customers_json(
-            spark, cfg.customers_json, document_per_line=cfg.customers_per_line
+            spark,
+            cfg.customers_json,
+            document_per_line=cfg.customers_per_line,
+            file_column="source_file",
         ),
         "raw_products": files.read_products_csv(spark, cfg.products_csv),
     }

@@ -364,8 +364,9 @@ def scan_csv_infer(spark, d):
 
 @query
 def scan_json_customers(spark, d):
+    # All documents are one array in one file, read by its byte ranges.
     path = scratch_path(spark, "customers-json")
-    staging.write_document_arrays(staging.customer_documents(spark, d), path)
+    staging.write_document_arrays(staging.customer_documents(spark, d), path, per_file=None)
     return ingest.flatten_customers(files.read_customers_json(spark, path))
 
 

@@ -52,8 +52,9 @@ def raw_sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
             "l_tax",
             "l_discount",
         ),
-        by=["l_orderkey", "l_linenumber", "l_partkey"],
-        # The given table is one row group.
+        # The given table is one row group. Dealt by the key of the join below, so
+        # that one shuffle serves both; an order has a handful of lines.
+        by=["l_orderkey"],
         parts=int(spark.conf.get("spark.sql.shuffle.partitions")),
     ).selectExpr(
         "*", "cast(rint(l_tax * 100) as int) as tax", "cast(rint(l_discount * 100) as int) as disc"
@@ -237,14 +238,16 @@ def raw_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_document_arrays(documents: DataFrame, path: str, per_file: int = 20_000) -> None:
+def write_document_arrays(
+    documents: DataFrame, path: str, per_file: int | None = 20_000
+) -> None:
     """Write documents the way they are delivered: files that hold one JSON array.
 
-    The number of files grows with the data, and rows are dealt out evenly
-    whatever they hold. Each line holds one element; the first opens the array
-    and a last line closes it.
+    The number of files grows with the data, unless ``per_file`` is None, which
+    makes one file, and rows are dealt out evenly whatever they hold. Each line
+    holds one element; the first opens the array and a last line closes it.
     """
-    files = max(1, -(-documents.count() // per_file))
+    files = 1 if per_file is None else max(1, -(-documents.count() // per_file))
     place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     dealt = documents.repartition(files).select(
         F.spark_partition_id().alias("file"),

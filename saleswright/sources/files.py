@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswright.schemas import (
@@ -14,6 +15,7 @@ from saleswright.schemas import (
     SUPPLIERS_CSV,
     WIDE_SALES_CSV,
 )
+from saleswright.sources.json_arrays import read_json_arrays
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -48,14 +50,22 @@ def read_customers_json(
     path: str,
     schema: T.StructType | None = CUSTOMERS_JSON,
     document_per_line: bool = False,
+    file_column: str | None = None,
 ) -> DataFrame:
     """Customer documents: an array of objects per file, or one object per line.
 
-    A file that holds an array is read by one task, so large deliveries should
-    come as many files or as lines. ``schema=None`` infers the fields.
+    Both are read by byte ranges, whatever the number of files; see
+    :mod:`saleswright.sources.json_arrays`. ``file_column`` adds the name of the
+    file a document is from. ``schema=None`` infers the fields, and then a file
+    that holds an array is read by one task.
     """
+    if schema is not None and not document_per_line:
+        return read_json_arrays(spark, path, schema, file_column)
     reader = spark.read.option("multiLine", not document_per_line)
-    return (reader if schema is None else reader.schema(schema)).json(path)
+    documents = (reader if schema is None else reader.schema(schema)).json(path)
+    if file_column is None:
+        return documents
+    return documents.select("*", F.col("_metadata.file_name").alias(file_column))
 
 
 def read_table(
@@ -78,8 +88,9 @@ def spread(df: DataFrame, by: Sequence[str], parts: int) -> DataFrame:
 
     A Parquet row group, a JSON array or a compressed CSV file is read by one
     task, and without a shuffle that task also does all the work that follows.
-    ``by`` names columns that tell rows apart: a hash of them is even and, unlike
-    a round-robin shuffle, needs no sort to be repeatable. A table of many pieces
-    needs no spreading.
+    ``by`` names columns of many values: a hash of them is even and, unlike a
+    round-robin shuffle, needs no sort to be repeatable. The key of a join or
+    grouping that follows saves that one its own shuffle. Rows are always moved, so
+    a table of many pieces should be read without this.
     """
     return df.repartition(parts, *by)
