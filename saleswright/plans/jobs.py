@@ -1,7 +1,8 @@
 """The batch jobs: ingest, clean, model, load, check, summarise.
 
-Each stage reads the tables of the one before from Parquet, so a job that
-fails is repeated from the stage it failed in. Counts are taken while writing.
+Each stage reads the tables of the one before from Parquet, and ``run_all``
+keeps a journal of the stages it has finished, so a run that is repeated goes on
+with the stage it failed in. Counts are taken while writing.
 """
 
 from __future__ import annotations
@@ -21,15 +22,18 @@ from saleswright.operators import (
     cleaning,
     constraints,
     dedup,
+    distinct_states,
     ingest,
     merging,
     metrics,
     modelling,
     quality,
+    quarantine,
 )
 from saleswright.operators.keys import growing_ids, surrogate_keys
+from saleswright.plans.journal import RunJournal
 from saleswright.schemas import ColumnSpec
-from saleswright.sources import files, sinks
+from saleswright.sources import files, key_filters, sinks
 from saleswright.sources.jdbc import JdbcWarehouse, KeyRange
 from saleswright.storage import exists, materialize, recover, scratch_run
 
@@ -190,18 +194,23 @@ def load_fact(
     """Append the lake's sales that the warehouse fact lacks; a repeated load adds none.
 
     Known transactions are dropped before the joins that look up the ids, and
-    ids of sales are given in the tasks that write: unique and growing, but not
+    only files of the fact that may hold one that arrives are opened for that.
+    Ids of sales are given in the tasks that write: unique and growing, but not
     without gaps.
     """
-    current = open_if_present(spark, path)
     top = 0
-    if current is not None:
-        top = current.agg(F.max("sale_id")).first()[0] or 0
-        sales = merging.rows_to_append(current, sales, "transaction_id")
+    if open_if_present(spark, path) is not None:
+        # Also for files of a load that broke off before their filters were written.
+        key_filters.add_filters(spark, path, "transaction_id", "sale_id")
+        top = key_filters.largest_id(spark, path, "sale_id")
+        sales = key_filters.rows_to_append(spark, path, sales, "transaction_id")
     fresh = modelling.warehouse_fact(sales, customers, products)
-    return sinks.append_partitioned(
+    n = sinks.append_partitioned(
         fresh, path, "sale_date", lambda rows: growing_ids(rows, "sale_id", top)
     )
+    if n:
+        key_filters.add_filters(spark, path, "transaction_id", "sale_id")
+    return n
 
 
 def warehouse_table(spark: SparkSession, cfg: JobConfig, name: str) -> DataFrame:
@@ -256,6 +265,62 @@ def load_to_database(
     target.append(merging.rows_to_append(present, fact, "transaction_id"), "fact_sales", writers)
 
 
+# --- quarantine
+
+
+def part_delivery(
+    spark: SparkSession, sales: DataFrame, customers: DataFrame, products: DataFrame, path: str
+) -> DataFrame:
+    """Part the lake's sales by whether the warehouse fact's constraints take them.
+
+    One write puts every row below ``path``, in a folder for each outcome: those
+    in ``stored`` break no constraint and have their ids, the others stay as they
+    came, each under the first constraint that it breaks. Returns the table.
+    """
+    judged = quarantine.judge(
+        sales,
+        [s for s in schemas.FACT_SALES if s.name != "sale_id"],
+        {
+            "unknown_customer": (customers, "customer_code", "customer_id"),
+            "unknown_product": (products, "product_code", "product_id"),
+        },
+    )
+    judged.write.mode("overwrite").partitionBy("outcome").parquet(path)
+    return spark.read.schema(judged.schema).parquet(path)
+
+
+# --- daily metrics by delivery
+
+
+def fold_delivery(spark: SparkSession, sales: DataFrame, delivery: str, path: str) -> int:
+    """Fold a delivery's new sales into the states of the daily metrics at ``path``.
+
+    ``sales`` has the columns of the enriched fact and ``customer_id``, and only
+    rows that no other delivery brought. States are kept per delivery, in a
+    folder per month: only months with sales in the delivery are opened and
+    written anew, late sales among them, and a delivery that is folded in again
+    replaces its own states.
+    """
+    states = distinct_states.partial_states(sales).select(
+        "*",
+        F.lit(delivery).alias("delivery"),
+        F.date_format("sale_date", "yyyy-MM").alias("sale_month"),
+    )
+    if open_if_present(spark, path) is None:
+        return sinks.replace_partitions(states, path, "sale_month")
+    # Written first, so that the delivery is not computed for its months as well.
+    states = materialize(states, "states")
+    months = [r.sale_month for r in states.select("sale_month").distinct().toLocalIterator()]
+    current = spark.read.schema(states.schema).parquet(path)
+    kept = current.where(F.col("sale_month").isin(months) & (F.col("delivery") != delivery))
+    return sinks.replace_partitions(kept.unionByName(states), path, "sale_month")
+
+
+def daily_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The metrics per day and category of all deliveries folded in."""
+    return distinct_states.metrics_of(spark.read.parquet(path))
+
+
 # --- quality and summary
 
 
@@ -380,33 +445,58 @@ def run_summary(spark: SparkSession, cfg: JobConfig) -> int:
 
 @dataclass(frozen=True)
 class RunReport:
-    """Rows written per stage and table, and the quality tallies."""
+    """Rows written per stage and table, the quality tallies, stages done before."""
 
     counts: Mapping[str, Mapping[str, int]]
     quality: Mapping[str, object]
+    skipped: tuple[str, ...] = ()
 
 
 def run_all(spark: SparkSession, cfg: JobConfig) -> RunReport:
     """All stages in order; raises at the first failure and at a failed gate.
 
-    Scratch tables are deleted at the end, whether the run fails or not.
+    A run that is repeated with the same id, settings and input files goes on
+    with the first stage that is not proven done. The checks run each time, as
+    tables may have been repaired in between. Scratch tables are deleted at the
+    end, whether the run fails or not.
     """
     with scratch_run(spark):
-        counts, tallies = run_to_quality(spark, cfg)
+        journal = run_journal(spark, cfg)
+        counts, tallies = run_to_quality(spark, cfg, journal)
         quality.enforce_gate(tallies)
-        counts["summary"] = {"daily_sales_summary": run_summary(spark, cfg)}
-        return RunReport(counts, tallies.first().asDict())
+        counts["summary"] = journal.once(
+            "summary",
+            lambda counts: [cfg.table(f"warehouse/{name}") for name in counts],
+            lambda: {"daily_sales_summary": run_summary(spark, cfg)},
+        )
+        return RunReport(counts, tallies.first().asDict(), tuple(journal.skipped))
+
+
+#: Stages that the journal knows, in order.
+JOURNALED = ("ingest", "clean", "model", "load", "summary")
+
+
+def run_journal(spark: SparkSession, cfg: JobConfig) -> RunJournal:
+    inputs = [cfg.sales_csv, cfg.products_csv, cfg.customers_json]
+    return RunJournal(spark, cfg.lake, cfg.run_id, cfg, inputs, JOURNALED)
 
 
 def run_to_quality(
-    spark: SparkSession, cfg: JobConfig
+    spark: SparkSession, cfg: JobConfig, journal: RunJournal | None = None
 ) -> tuple[dict[str, dict[str, int]], DataFrame]:
     """The stages up to the gate: rows per stage and table, and the quality tallies."""
+    journal = run_journal(spark, cfg) if journal is None else journal
+
+    def written(folder: str):
+        return lambda counts: [
+            cfg.table(folder + name) for name in counts if not name.endswith("_removed")
+        ]
+
     counts = {
-        "ingest": run_ingest(spark, cfg),
-        "clean": run_cleaning(spark, cfg),
-        "model": run_modelling(spark, cfg),
-        "load": run_load(spark, cfg),
+        "ingest": journal.once("ingest", written(""), lambda: run_ingest(spark, cfg)),
+        "clean": journal.once("clean", written(""), lambda: run_cleaning(spark, cfg)),
+        "model": journal.once("model", written(""), lambda: run_modelling(spark, cfg)),
+        "load": journal.once("load", written("warehouse/"), lambda: run_load(spark, cfg)),
     }
     return counts, run_quality(spark, cfg)
 

@@ -577,6 +577,8 @@ def oracle_queries() -> dict[str, str]:
     sql: dict[str, str] = {}
 
     sql["daily_category_metrics"] = _with(_DAILY_CATEGORY, "fact")
+    # Folding deliveries in gives what one pass over all sales gives.
+    sql["daily_metrics_refresh"] = sql["daily_category_metrics"]
     sql["customer_metrics"] = _with(
         f"""
 SELECT customer_code, customer_segment, max(sale_date) AS last_purchase_date,
@@ -1077,4 +1079,29 @@ SELECT (SELECT count(*) FROM raw_sales) AS original_sales,
 FROM quick_lines""",
         "quick_lines",
     )
+    sql["batch_resume"] = (
+        sql["batch_run"]
+        + """
+UNION ALL SELECT 'ingest', 'passed_over', 1 UNION ALL SELECT 'clean', 'passed_over', 1"""
+    )
+    # Codes and methods of the given tables are shorter than their columns, so only
+    # references and amounts can fail; references are looked at first.
+    sql["load_quarantine"] = _with(
+        """
+SELECT s.transaction_id, CASE
+    WHEN c.customer_code IS NULL THEN 'unknown_customer'
+    WHEN p.product_code IS NULL THEN 'unknown_product'
+    WHEN TRY_CAST(s.unit_price AS DECIMAL(10,2)) IS NULL THEN 'overflowing_unit_price'
+    WHEN TRY_CAST(s.discount_amount AS DECIMAL(10,2)) IS NULL THEN 'overflowing_discount_amount'
+    WHEN TRY_CAST(s.tax_amount AS DECIMAL(10,2)) IS NULL THEN 'overflowing_tax_amount'
+    WHEN TRY_CAST(s.total_amount AS DECIMAL(12,2)) IS NULL THEN 'overflowing_total_amount'
+    ELSE 'stored' END AS outcome, CAST(s.total_amount AS DOUBLE) AS total_amount
+FROM clean_sales s
+LEFT JOIN (SELECT customer_code FROM clean_customers WHERE registration_date < DATE '1998-11-01') c
+  ON s.customer_code = c.customer_code
+LEFT JOIN clean_products p ON s.product_code = p.product_code""",
+        "clean_sales",
+        "clean_customers",
+        "clean_products",
+    )
     return sql

@@ -26,7 +26,7 @@ from saleswright.operators import (
 )
 from saleswright.plans import jobs, staging
 from saleswright.session import enable_skew_handling
-from saleswright.sources import files, sinks
+from saleswright.sources import files, key_filters, sinks
 from saleswright.storage import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,6 +167,20 @@ def daily_category_metrics(spark, d):
     return metrics.daily_category_metrics(_fact(spark, d))
 
 
+@query
+def daily_metrics_refresh(spark, d):
+    customers = materialize(_customer_dim(spark, d), "dim-customers")
+    ids = keys.surrogate_keys(customers.select("customer_code"), "customer_code", "customer_id")
+    fact = materialize(_fact(spark, d, customers).join(ids, "customer_code"), "fact-with-ids")
+    path = scratch_path(spark, "daily-states")
+    # The second delivery brings late sales for most days, and arrives twice.
+    first = F.substring("transaction_id", 22, 1) < "7"
+    jobs.fold_delivery(spark, fact.where(first), "first", path)
+    for _ in range(2):
+        jobs.fold_delivery(spark, fact.where(~first), "second", path)
+    return jobs.daily_metrics(spark, path)
+
+
 @query
 def customer_metrics(spark, d):
     return metrics.customer_metrics(_fact(spark, d), _as_of())
@@ -637,6 +651,21 @@ def warehouse_fact(spark, d):
     return _stored(spark, d)[0]
 
 
+@query
+def load_quarantine(spark, d):
+    customers, products = _dims_once(spark, d)
+    # The warehouse does not know the newest customers yet.
+    known = _registered(customers, before="1998-11-01").select("customer_code")
+    judged = jobs.part_delivery(
+        spark,
+        _clean_sales(spark, d).drop("discount"),
+        keys.surrogate_keys(known, "customer_code", "customer_id"),
+        keys.surrogate_keys(products.select("product_code"), "product_code", "product_id"),
+        scratch_path(spark, "parted"),
+    )
+    return judged.select("transaction_id", "outcome", "total_amount")
+
+
 @query
 def dim_scd1_merge(spark, d):
     dimension = materialize(_customer_dim(spark, d), "dim-customers")
@@ -657,10 +686,15 @@ def dim_scd1_merge(spark, d):
 def fact_append_idempotent(spark, d):
     columns = ["transaction_id", "sale_date", "total_amount", "created_at"]
     fact = materialize(_fact(spark, d).select(*columns), "fact-sales")
+    path = scratch_path(spark, "appended")
     target = fact.where(F.col("sale_date") < "1999-01-01").withColumn("created_at", _earlier())
+    # The target has grown by date, as it does from delivery to delivery.
+    sinks.write_table(target.repartitionByRange(48, "sale_date"), path)
     batch = fact.where(F.col("sale_date") >= "1998-01-01")
-    once = materialize(merging.append_once(target, batch, "transaction_id"), "appended")
-    return merging.append_once(once, batch, "transaction_id")
+    for _ in range(2):
+        key_filters.add_filters(spark, path, "transaction_id")
+        sinks.append_table(key_filters.rows_to_append(spark, path, batch, "transaction_id"), path)
+    return files.read_table(spark, path)
 
 
 @query
@@ -775,6 +809,29 @@ def batch_rerun(spark, d):
     return jobs.warehouse_table(spark, cfg, "fact_sales").drop("sale_id")
 
 
+@query
+def batch_resume(spark, d):
+    lake = scratch_path(spark, "lake")
+    cfg = _delivered(spark, d, staging.raw_sales_wide(spark, d), lake, "run-1", RUN_TS)
+
+    def broken() -> dict[str, int]:
+        raise ConnectionError("lost")
+
+    # The first run breaks off while it models; the second does only the rest.
+    journal = jobs.run_journal(spark, cfg)
+    journal.once("ingest", lambda _: [], lambda: jobs.run_ingest(spark, cfg))
+    journal.once("clean", lambda _: [], lambda: jobs.run_cleaning(spark, cfg))
+    try:
+        journal.once("model", lambda _: [], broken)
+    except ConnectionError:
+        journal = jobs.run_journal(spark, cfg)
+    counts, tallies = jobs.run_to_quality(spark, cfg, journal)
+    rows = [(stage, name, n) for stage, tables in counts.items() for name, n in tables.items()]
+    rows += [(stage, "passed_over", 1) for stage in journal.skipped]
+    rows.append(("quality", "gate_closed", int(tallies.first().critical_failures > 0)))
+    return spark.createDataFrame(rows, "stage string, table_name string, records long")
+
+
 # --- composite
 
 
