@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,20 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(app)
 
 
+_kept: dict[object, object] = {}
+
+
+def kept(key: object, make: Callable[[], object]):
+    """An object that a worker builds once and uses for all its tasks.
+
+    Workers outlive a stage, so only the object asked for last is held.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; only Spark opens its files."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,8 +68,8 @@ def carried(rows: DataFrame, *own: Column | str) -> DataFrame:
     """
     named = rows.select(*own).columns
     taken = {name.lower() for name in named}
-    kept = [f.name for f in rows.schema["_row"].dataType if f.name.lower() not in taken]
-    return rows.select(*[F.col("_row").getField(c).alias(c) for c in kept], *own)
+    names = [f.name for f in rows.schema["_row"].dataType if f.name.lower() not in taken]
+    return rows.select(*[F.col("_row").getField(c).alias(c) for c in names], *own)
 
 
 def attach(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from saleswright.llm.common import carried, table, text_bytes
+from saleswright.llm.common import carried, kept, table, text_bytes
 from saleswright.storage import materialize
 
 WINDOW_WORDS = 13
@@ -124,14 +124,8 @@ def _spans(data: bytes, folded: bytes, ranges: list[tuple[int, int]]) -> list[di
     ]
 
 
-_MATCHERS: dict[str, Matcher] = {}
-
-
 def _matcher(key: str, items: Sequence[tuple[str | None, bytes]]) -> Matcher:
-    if key not in _MATCHERS:
-        _MATCHERS.clear()
-        _MATCHERS[key] = Matcher(items)
-    return _MATCHERS[key]
+    return kept(("matcher", key), lambda: Matcher(items))
 
 
 def _scan_with(rows: DataFrame, items: list[tuple[str | None, bytes]]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from saleswright.llm.common import carried, table
+from saleswright.llm.common import carried, kept, table
 from saleswright.llm.pieces import MARKER, Memo, Vocabulary, load_vocabulary, units
 from saleswright.llm.unigram import MODEL
 
@@ -62,13 +62,8 @@ class Counter:
         return sum([n for n, _ in found]), sum([s for _, s in found], 0.0)
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
 def _counter(vocabulary: Vocabulary) -> Counter:
-    if vocabulary.key not in _COUNTERS:
-        _COUNTERS[vocabulary.key] = Counter(vocabulary)
-    return _COUNTERS[vocabulary.key]
+    return kept(("counter", vocabulary.key), lambda: Counter(vocabulary))
 
 
 def count_tokens(

@@ -21,7 +21,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from saleswright.llm.common import carried, table
+from saleswright.llm.common import carried, kept, table
 from saleswright.llm.pieces import MARKER, Memo, Vocabulary, load_vocabulary, units
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -155,13 +155,8 @@ class Encoder:
         return data.removeprefix(b" ").decode("utf-8", "replace")
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def _encoder(vocabulary: Vocabulary) -> Encoder:
-    if vocabulary.key not in _ENCODERS:
-        _ENCODERS[vocabulary.key] = Encoder(vocabulary)
-    return _ENCODERS[vocabulary.key]
+    return kept(("encoder", vocabulary.key), lambda: Encoder(vocabulary))
 
 
 def encode(
