@@ -333,29 +333,22 @@ def _table_or_empty(spark: SparkSession, cfg: JobConfig, name: str) -> DataFrame
 def _constraint_checks(spark: SparkSession, cfg: JobConfig, stored: Mapping) -> DataFrame:
     """The declared constraints of the tables that there are.
 
-    Required columns and primary keys are looked at in the warehouse. Lengths
-    and decimals are looked at in the lake, as values that do not fit are NULL
-    after the load.
+    Required columns and primary keys are looked at in the warehouse, in one
+    pass. Lengths and decimals are looked at in the lake, in another, as values
+    that do not fit are NULL after the load.
     """
     parts = []
     for name, table in stored.items():
         specs = schemas.WAREHOUSE[name]
-        key = quality.check_uniqueness(table, name, [PRIMARY_KEYS[name]])
-        parts.append(key.withColumn("check_name", F.lit("primary_key")))
         lake = open_if_present(spark, cfg.table(name))
-        lake = table if lake is None else lake
-        parts += [
-            constraints.as_checks(
-                constraints.missing_values(table, name, specs), constraints.NOT_NULL
-            ),
-            constraints.as_checks(
-                constraints.overlong_texts(lake, name, specs), constraints.TEXT_LENGTH
-            ),
-            constraints.as_checks(
-                constraints.overflowing_decimals(lake, name, specs), constraints.DECIMAL_RANGE
-            ),
-        ]
-    return reduce(DataFrame.unionByName, parts)
+        kinds = [constraints.NOT_NULL]
+        fitting = [constraints.TEXT_LENGTH, constraints.DECIMAL_RANGE]
+        if lake is None:
+            kinds += fitting
+        else:
+            parts.append(constraints.count_violations(lake, name, specs, fitting))
+        parts.append(constraints.count_violations(table, name, specs, kinds, PRIMARY_KEYS[name]))
+    return constraints.as_checks(reduce(DataFrame.unionByName, parts))
 
 
 def quality_log(spark: SparkSession, path: str) -> DataFrame:

@@ -50,6 +50,8 @@ def folder(tmp_path_factory):
     (folder / "none.json").write_text(" [ ]\n")
     (folder / "empty.json").write_text("")
     (folder / "one.json").write_text('[{"id": "z"}]')
+    (folder / "alone.json").write_text(json.dumps({**docs[3], "id": "alone"}, indent=1))
+    (folder / "alone-too.json").write_text('{"id": "too", "t": "}{[", "n": {"a": ["x", "y"]}}\n\n')
     return str(folder)
 
 
