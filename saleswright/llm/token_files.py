@@ -21,6 +21,8 @@ from saleswright.storage import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
+#: Bytes of text of a shard, about.
+SHARD_BYTES = 256 * 1024**2
 #: Units whose ids a worker remembers, twice: the newer and the older ones.
 MEMO_UNITS = 1 << 19
 #: Texts that are split before the units new to the worker are encoded together.
@@ -91,7 +93,9 @@ class Tokens:
 
     Texts are cut only where the tokenizer's own pattern always cuts, so the
     ids of the units are the ids of the whole text. ``spaced`` remembers units
-    by what follows their blank, ``bare`` those that begin without one.
+    by what follows their blank, ``bare`` those that begin without one. A text
+    that holds an added token's own characters is given to the tokenizer whole,
+    which makes them that token.
     """
 
     def __init__(self, definition: str):
@@ -100,6 +104,8 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content for token in added if token.content]
         self.spaced = _Units(self.tokenizer, " ")
         self.bare = _Units(self.tokenizer, "")
 
@@ -109,8 +115,18 @@ class Tokens:
             return [_CUT.split(text)]
         return [line.split(" ") for line in text.split("\n")]
 
+    def _whole(self, text: str) -> bytes:
+        self.tokenizer.encode_special_tokens = False
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.tokenizer.encode_special_tokens = True
+        return pack(f"<{len(ids)}I", *ids)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
+        whole = {i: self._whole(t) for i, t in enumerate(texts) if any(a in t for a in self.added)}
+        if whole:
+            rest = iter(self.encode([t for i, t in enumerate(texts) if i not in whole]))
+            return [whole[i] if i in whole else next(rest) for i in range(len(texts))]
         split = [self._lines(text) for text in texts]
         newline, *bare = self.bare.ids(["\n", *[line[0] for lines in split for line in lines]])
         words: list[str] = []
@@ -192,7 +208,9 @@ def write_token_files(
     rows = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).withColumn("tie", F.xxhash64("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A shard is written by one task, so their number follows the texts.
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     ordered = rows.repartitionByRange(parts, "id", "tie").sortWithinPartitions("id", "tie")
     id_type = dict(rows.dtypes)["id"]
     schema = (

@@ -90,6 +90,9 @@ TEXTS = [
     "it's we'll 12 34a",
     "word " * 3000,
     "x" * 20_000,
+    "a literal <|endoftext|> inside, and <|endoftext|>\n<|endoftext|> <|endoftext|>",
+    "<|endoftext|>",
+    "<|endoftext |>",
     "plain words, and more words.\nA second line",
 ]
 
