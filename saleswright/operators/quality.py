@@ -130,6 +130,42 @@ def check_uniqueness(df: DataFrame, table: str, columns: Sequence[str]) -> DataF
 # --- references
 
 
+#: Bytes of a dimension's ids, as bits, up to which they are broadcast: 500 million ids.
+BITMAP_BYTES = 64 * 1024**2
+#: Bits of a bitmap of Spark's (fixed value).
+_BITMAP_BITS = 32768
+
+
+def _id_bits(parent: DataFrame, key: str) -> DataFrame | None:
+    """The ids of a dimension as bitmaps per bucket, if they are few and dense enough.
+
+    What they take follows from the largest id, which is looked up first.
+    """
+    if parent.schema[key].dataType.typeName() not in ("integer", "long"):
+        return None
+    least, largest = parent.agg(F.min(key), F.max(key)).first()
+    if least is None or least < 1 or (largest // _BITMAP_BITS + 1) * _BITMAP_BITS // 8 > BITMAP_BYTES:
+        return None
+    return parent.groupBy(F.bitmap_bucket_number(F.col(key)).alias(f"_bucket_{key}")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.col(key))).alias(f"_bits_{key}")
+    )
+
+
+def _with_bits(rows: DataFrame, bits: DataFrame, key: str) -> DataFrame:
+    """Rows beside the bitmap that their key would be in."""
+    here = F.bitmap_bucket_number(F.col(key)) == F.col(f"_bucket_{key}")
+    return rows.join(F.broadcast(bits), here, "left")
+
+
+def _orphans(key: str) -> Column:
+    """Rows whose key's bit is not set; without a bitmap, or a key, none is."""
+    place = F.bitmap_bit_position(F.col(key))
+    byte = F.substring(F.col(f"_bits_{key}"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    known = F.getbit(value, (place % 8).cast("int")) == 1
+    return F.count_if(~F.coalesce(known, F.lit(False)))
+
+
 def count_orphans(rows: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Rows whose key the parent lacks, as one row ``(n)``; NULL keys count.
 
@@ -147,8 +183,25 @@ def check_references(
     table: str = "fact_sales",
     keys: tuple[str, str] = ("customer_id", "product_id"),
 ) -> DataFrame:
-    """References to both dimensions; ``keys`` name the customer and product key."""
+    """References to both dimensions; ``keys`` name the customer and product key.
+
+    Dense integer ids of up to ``BITMAP_BYTES`` are broadcast as bits, and then
+    one scan of the fact, of which nothing is shuffled, answers for both
+    dimensions. Codes and larger ids are counted per key and joined.
+    """
     n = F.col("n")
+    customer_bits = _id_bits(customers, keys[0])
+    product_bits = _id_bits(products, keys[1]) if customer_bits is not None else None
+    if customer_bits is not None and product_bits is not None:
+        probed = _with_bits(_with_bits(fact.select(*keys), customer_bits, keys[0]), product_bits, keys[1])
+        counts = probed.agg(_orphans(keys[0]).alias("buyers"), _orphans(keys[1]).alias("items"))
+        return _rows(
+            counts,
+            [
+                _check(table, "customer_integrity", F.col("buyers"), CUSTOMERS_OK, CUSTOMERS_BAD),
+                _check(table, "product_integrity", F.col("items"), PRODUCTS_OK, PRODUCTS_BAD),
+            ],
+        )
     buyers = count_orphans(fact, customers, keys[0])
     items = count_orphans(fact, products, keys[1])
     return _rows(

@@ -790,6 +790,13 @@ FROM (SELECT l_orderkey, l_linenumber, l_extendedprice AS unit_price,
         "days",
     )
     sql["dq_referential"] = _with(_references(), *cleaned)
+    known_then = "(SELECT * FROM clean_customers WHERE registration_date < DATE '1998-11-01')"
+    sql["dq_referential_ids"] = _with(
+        _orphans("customer", known_then, "customer_code", "customer")
+        + " UNION ALL "
+        + _orphans("product", "clean_products", "product_code", "product"),
+        *cleaned,
+    )
     sql["dq_business_rules"] = _with(_business_rules("unfiltered_sales"), "unfiltered_sales")
     sql["dq_run_all"] = _with("SELECT * FROM checks", "checks")
     sql["dq_summary"] = _with("SELECT * FROM tallies", "tallies")

@@ -476,6 +476,18 @@ def dq_referential(spark, d):
     )
 
 
+@query
+def dq_referential_ids(spark, d):
+    customers, products = _dims_once(spark, d)
+    customer_ids = keys.surrogate_keys(customers, "customer_code", "customer_id")
+    product_ids = keys.surrogate_keys(products, "product_code", "product_id")
+    sales = _clean_sales(spark, d).select("customer_code", "product_code")
+    fact = sales.join(customer_ids.select("customer_code", "customer_id"), "customer_code", "left")
+    fact = fact.join(product_ids.select("product_code", "product_id"), "product_code", "left")
+    # Sales of the newest customers, and of rejected ones and products, are orphans.
+    return quality.check_references(fact, _registered(customer_ids, before="1998-11-01"), product_ids)
+
+
 @query
 def dq_business_rules(spark, d):
     return quality.check_business_rules(_unfiltered_sales(spark, d), _as_of())

@@ -2,6 +2,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from saleswright import schemas
 from saleswright.functions import dates
@@ -67,6 +68,27 @@ def test_single_checks_agree_with_the_suite(spark, tables):
             assert suite[check] == result
 
 
+@pytest.mark.parametrize("bound", [quality.BITMAP_BYTES, 4096])
+def test_references_by_bits(spark, monkeypatch, bound):
+    """Ids at the edges of buckets, absent ones, zero, negative and NULL, by bits and by join."""
+    monkeypatch.setattr(quality, "BITMAP_BYTES", bound)
+    held = [1, 2, 8, 9, 32767, 32768, 32769, 65536, 65537, 70_000]
+    parent = spark.createDataFrame([(k,) for k in held], "customer_id long")
+    items = spark.range(1, 2001).select(F.col("id").cast("int").alias("product_id"))
+    asked = [*held, 3, 7, 10, 32766, 32770, 65535, 65538, 98_305, 10**12, 0, -1, -32768, None]
+    fact = spark.createDataFrame([(k, k % 2100 if k else None) for k in asked * 3], "customer_id long, product_id int")
+    found = quality.check_references(fact, parent, items)
+    counts = {r.check_name: r.records_failed for r in found.collect()}
+    wrong = [k % 2100 if k else None for k in asked]
+    assert counts == {
+        "customer_integrity": 3 * (len(asked) - len(held)),
+        "product_integrity": 3 * sum(not (k and 1 <= k <= 2000) for k in wrong),
+    }
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    keyed = "hashpartitioning(customer_id" in plan or "hashpartitioning(product_id" in plan
+    assert keyed == (bound == 4096)
+
+
 def test_details(spark, tables):
     checks = quality.check_completeness(tables["dim_products"], "dim_products", least=5)
     assert checks.first().check_details == "Table has only 1 records (< 5)"
