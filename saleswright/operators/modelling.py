@@ -16,19 +16,36 @@ def _dimension(df: DataFrame, attributes: Iterable[str], run_ts: Column) -> Data
     return df.select(*attributes, run_ts.alias("created_at"), run_ts.alias("updated_at"))
 
 
+# The attributes of the two dimensions.
+CUSTOMER_ATTRIBUTES = (
+    "customer_code",
+    "first_name",
+    "last_name",
+    "email",
+    "phone",
+    "country",
+    "city",
+    "registration_date",
+    "customer_segment",
+)
+PRODUCT_ATTRIBUTES = (
+    "product_code",
+    "product_name",
+    "category",
+    "subcategory",
+    "brand",
+    "unit_price",
+    "cost_price",
+    "weight_kg",
+)
+
+
 def customer_dimension(customers: DataFrame, run_ts: Column) -> DataFrame:
-    attributes = (
-        "customer_code first_name last_name email phone country city "
-        "registration_date customer_segment"
-    )
-    return _dimension(customers, attributes.split(), run_ts)
+    return _dimension(customers, CUSTOMER_ATTRIBUTES, run_ts)
 
 
 def product_dimension(products: DataFrame, run_ts: Column) -> DataFrame:
-    attributes = (
-        "product_code product_name category subcategory brand unit_price cost_price weight_kg"
-    )
-    return _dimension(products, attributes.split(), run_ts)
+    return _dimension(products, PRODUCT_ATTRIBUTES, run_ts)
 
 
 def sales_fact(
