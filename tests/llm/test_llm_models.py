@@ -158,7 +158,7 @@ def test_language_model_without_training_rows(docs):
 
 
 @needs_data
-def test_training_helps(spark):
-    """The model beats the uniform choice and its own frequencies on held-out text."""
+def test_score_is_not_far_below_its_base(spark):
+    """On small inputs the model is worse than its base, by less than half; see the README."""
     rows = lm.op9_lm(spark, SF_DIR).filter("held_out").collect()
     assert sum(r.score for r in rows) > 1.5 * sum(r.base_score for r in rows)
