@@ -126,6 +126,43 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF_DIR).collect()} == clean
 
 
+STAGE_ROWS = [
+    (1, "some plain words of a text"), (1, "some plain words of a text"), (None, "some plain words of a text"),
+    (None, None), (2, None), (3, ""), (3, ""), (None, "own words of the row without an id"),
+    (4, "word " * 200_000), (5, "of the house and the garden by the river"), (6, "last"),
+]
+
+
+@pytest.mark.parametrize("from_files", [True, False])
+def test_stages_with_odd_rows(spark, docs, tmp_path, from_files):
+    """Null ids, null and long texts, repeated rows and columns of the stages' own names."""
+    clashing = ("_doc", "_place", "score", "kept", "file", "row", "stays")
+    table = docs(STAGE_ROWS).withColumns({c: F.lit("mine") for c in clashing})
+    with_labels(spark).write.parquet(f"{tmp_path}/labels.parquet")
+    with_benchmark(spark).write.parquet(f"{tmp_path}/benchmark.parquet")
+    if from_files:
+        table.write.parquet(f"{tmp_path}/documents.parquet")
+        table = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    found = {name: stages[name](spark, table, str(tmp_path)) for name in stages}
+    for name, df in found.items():
+        if name != "pieces":
+            assert df.columns == table.columns
+            assert all(r._doc == r.kept == r.row == "mine" for r in df.collect())
+    by_text = {(text or ""): [] for _, text in STAGE_ROWS}
+    for doc_id, text in STAGE_ROWS:
+        by_text[text or ""].append(doc_id)
+    largest = {t: max((i for i in ids if i is not None), default=None) for t, ids in by_text.items()}
+    assert Counter((r.doc_id, r.text or "") for r in found["exact_dedup"].collect()) == Counter(
+        (i, t) for t, i in largest.items()
+    )
+    near = found["near_dedup"].collect()
+    assert len(near) == len({simhash.fingerprint((t or "").encode()) for t in by_text})
+    assert found["decontamination"].count() == len(STAGE_ROWS)
+    assert found["quality"].count() <= len(STAGE_ROWS)
+    assert found["pieces"].count() == len(STAGE_ROWS)
+
+
 def test_pipeline_of_nothing(spark, docs, tmp_path):
     docs([]).write.parquet(f"{tmp_path}/documents.parquet")
     with_labels(spark).limit(0).write.parquet(f"{tmp_path}/labels.parquet")
