@@ -8,11 +8,12 @@ of its own.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saleswright.functions import dates, money, text
 from saleswright.operators.dedup import one_per_key
@@ -33,20 +34,32 @@ def sales_rules(formats: Sequence[str] = (dates.ISO_DATE,)) -> Rules:
     }
 
 
-def valid_sales(formats: Sequence[str] = (dates.ISO_DATE,)) -> Column:
+def valid_sales(
+    formats: Sequence[str] = (dates.ISO_DATE,), doubles: Collection[str] = ()
+) -> Column:
     """Whether a row meets all of :func:`sales_rules`, with every input named once.
 
     The optimizer writes the expression behind a column out at each mention, and
     a filter that grows beyond what the JVM compiles is interpreted. A price
-    above zero can be stored, so that needs no condition of its own.
+    above zero can be stored, so that needs no condition of its own. Columns
+    among ``doubles`` are judged by bounds instead of being made decimals.
     """
+    unit_price, discount = F.col("unit_price"), F.col("discount")
     return (
         F.col("transaction_id").isNotNull()
         & F.col("customer_code").isNotNull()
         & F.col("product_code").isNotNull()
         & (F.col("quantity") > 0)
-        & (money.price(F.col("unit_price")) > 0)
-        & money.storable(F.col("discount"))
+        & (
+            money.positive_double(unit_price)
+            if "unit_price" in doubles
+            else money.price(unit_price) > 0
+        )
+        & (
+            money.storable_double(discount)
+            if "discount" in doubles
+            else money.storable(discount)
+        )
         & dates.parse_date(F.col("sale_date"), formats).isNotNull()
     )
 
@@ -113,7 +126,8 @@ def clean_sales(
     the fixed currency, for instance with the source's own column.
     """
     unit_price, quantity, discount = F.col("unit_price"), F.col("quantity"), F.col("discount")
-    rows = one_per_key(df.where(valid_sales(formats)), ["transaction_id"])
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    rows = one_per_key(df.where(valid_sales(formats, doubles)), ["transaction_id"])
     return rows.withColumns(
         {
             "sale_date": dates.parse_date(F.col("sale_date"), formats),

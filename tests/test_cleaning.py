@@ -12,7 +12,7 @@ from saleswright.functions import dates, money
 from saleswright.operators import cleaning, dedup
 from saleswright.plans import staging
 from saleswright.schemas import PRODUCTS_CSV, SALES_CSV
-from saleswright.session import temporary_conf
+from saleswright.session import ENGINE_CONF, SKEW_CONF, temporary_conf
 
 
 @pytest.fixture(scope="module")
@@ -212,3 +212,32 @@ def test_filter_is_small_enough_to_be_compiled(spark):
         told = spark._jvm.PythonSQLUtils.explainString(plan, "codegen")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", told)]
     assert sizes and max(sizes) < 8000
+
+
+def test_bounds_of_doubles_judge_like_decimals(spark):
+    edges = [0.005, 0.004, 0.0, 5e-324, 1e14, 99999999999999.99, 1e300, 2e10, 999999.99, math.inf, math.nan]
+    edges += [math.nextafter(v, to) for v in (0.005, 1e14) for to in (0.0, math.inf)]
+    values = [(v,) for e in edges for v in (e, -e)] + [(None,)]
+    x = F.col("x")
+    judged = spark.createDataFrame(values, "x double").select(
+        "x",
+        F.coalesce(money.price(x) > 0, F.lit(False)).alias("positive"),
+        F.coalesce(money.positive_double(x), F.lit(False)).alias("positive_by_bounds"),
+        money.storable(x).alias("storable"),
+        money.storable_double(x).alias("storable_by_bounds"),
+    )
+    for r in judged.collect():
+        assert (r.positive, r.storable) == (r.positive_by_bounds, r.storable_by_bounds), r.x
+
+
+def test_filter_makes_no_decimals(spark):
+    """Of doubles, that is: their cast goes through texts."""
+    sales = spark.createDataFrame([], SALES_CSV)
+    told = cleaning.clean_sales(sales)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in told.splitlines() if "Filter" in line and "unit_price" in line]
+    assert filters and not any("decimal" in line for line in filters)
+
+
+def test_large_methods_are_not_interpreted():
+    assert int(ENGINE_CONF["spark.sql.codegen.hugeMethodLimit"]) <= 8000
+    assert "spark.sql.codegen.hugeMethodLimit" in SKEW_CONF
