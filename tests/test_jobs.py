@@ -14,7 +14,7 @@ from saleswright.functions import dates
 from saleswright.operators import cleaning, merging, modelling, quality
 from saleswright.plans import jobs, staging
 from saleswright.schemas import SALES_CSV
-from saleswright.sources import files, sinks
+from saleswright.sources import files, key_filters, sinks
 from saleswright.sources.jdbc import JdbcWarehouse, KeyRange
 
 SALES_HEADER = (
@@ -405,3 +405,16 @@ def test_run_parameters_are_constants(spark):
         dates.time_value(datetime(2024, 1, 2, 3)).alias("t"),
     ).first()
     assert (row.d, row.t) == (date(2024, 1, 2), datetime(2024, 1, 2, 3))
+
+
+def test_large_loads_write_no_filters(spark, sources, monkeypatch):
+    """They load what small ones load, and a small one after them has filters again."""
+    monkeypatch.setattr(key_filters, "FEW_ROWS", 0)
+    lake = config(sources, "run-1", "2024-08-01 06:00:00")
+    filters = key_filters.filters_path(lake.table("warehouse/fact_sales"))
+    assert jobs.run_all(spark, lake).counts["load"]["fact_sales"] == 4
+    assert jobs.run_load(spark, lake)["fact_sales"] == 0
+    assert not storage.exists(spark, filters)
+    monkeypatch.undo()
+    assert jobs.run_load(spark, lake)["fact_sales"] == 0
+    assert storage.exists(spark, filters)
