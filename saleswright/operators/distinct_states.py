@@ -1,9 +1,11 @@
 """Daily metrics as partial states that merge, exact distinct buyers included.
 
-The buyers of a day and category are bits at the places of their dense ids, held
-in buckets of Spark's bitmap size. Sums add up and bitmaps are united, so a
+A state is a row per day, category and buyer: the buyer's presence and sums of
+the buyer's sales. Sums add up and rows of the same buyer become one, so a
 delivery is folded into the days it touches without looking at the sales that are
-there already, and counting a buyer of two deliveries once.
+there already, and counting a buyer of two deliveries once. States are never more
+than the sales, whatever the number of buyers that there are; bitmaps over all
+buyers would grow with days times buyers, and on most days few of them buy.
 """
 
 from __future__ import annotations
@@ -16,15 +18,12 @@ SUMS = ("total_sales", "total_quantity", "transaction_count", "amount_count")
 
 
 def partial_states(fact: DataFrame, member: str = "customer_id") -> DataFrame:
-    """One row per day, category and bucket of buyers: sums and the buyers' bits.
+    """One row per day, category and buyer with the sums of the sales.
 
-    ``member`` is a dense positive id; sales without one are summed up in a
-    bucket of their own and count no buyer. Rows merge inside each task first,
-    and the shuffle carries at most one bitmap per task, day, category and bucket.
+    Sales without ``member`` are summed up in a row of their own, which counts as
+    no buyer. Rows merge inside each task first.
     """
-    place = F.bitmap_bit_position(F.col(member))
-    return fact.groupBy(*KEYS, F.bitmap_bucket_number(F.col(member)).alias("bucket")).agg(
-        F.bitmap_construct_agg(place).alias("buyers"),
+    return fact.groupBy(*KEYS, F.col(member).alias("buyer")).agg(
         F.sum("total_amount").alias("total_sales"),
         F.sum("quantity").cast("long").alias("total_quantity"),
         F.count("transaction_id").alias("transaction_count"),
@@ -33,17 +32,12 @@ def partial_states(fact: DataFrame, member: str = "customer_id") -> DataFrame:
 
 
 def merge_states(states: DataFrame) -> DataFrame:
-    """States of the same day, category and bucket as one."""
-    return states.groupBy(*KEYS, "bucket").agg(
-        F.bitmap_or_agg("buyers").alias("buyers"), *[F.sum(c).alias(c) for c in SUMS]
-    )
+    """States of the same day, category and buyer as one."""
+    return states.groupBy(*KEYS, "buyer").agg(*[F.sum(c).alias(c) for c in SUMS])
 
 
 def metrics_of(states: DataFrame) -> DataFrame:
-    """Metrics per day and category from states, merged or not.
-
-    The buckets of a group are disjoint, so their buyers add up.
-    """
+    """Metrics per day and category from states, merged or not."""
     return (
         merge_states(states)
         .groupBy(*KEYS)
@@ -52,9 +46,7 @@ def metrics_of(states: DataFrame) -> DataFrame:
             F.sum("total_quantity").alias("total_quantity"),
             F.sum("transaction_count").alias("transaction_count"),
             _mean(F.sum("total_sales"), F.sum("amount_count")).alias("avg_transaction_value"),
-            F.coalesce(
-                F.sum(F.when(F.col("bucket").isNotNull(), F.bitmap_count("buyers"))), F.lit(0)
-            ).alias("unique_customers"),
+            F.count("buyer").alias("unique_customers"),
         )
     )
 

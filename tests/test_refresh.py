@@ -52,6 +52,15 @@ def test_states_merge_to_the_plain_metrics(spark):
     assert rows_of(distinct_states.metrics_of(states[0].limit(0))) == []
 
 
+def test_states_are_no_more_than_the_sales(spark):
+    """However far apart the buyers' ids are: a state is a row, not a bitmap of all buyers."""
+    far = fact(spark, 4, 300).withColumn("customer_id", F.col("customer_id") * 10**9)
+    states = distinct_states.partial_states(far)
+    assert states.count() <= 300
+    assert "binary" not in [kind for _, kind in states.dtypes]
+    assert rows_of(distinct_states.metrics_of(states)) == rows_of(metrics.daily_category_metrics(far))
+
+
 def test_deliveries_fold_in_once(spark, tmp_path):
     path = f"{tmp_path}/states"
     first, late = fact(spark, 1, 300), fact(spark, 2, 60, date(2024, 2, 20))
