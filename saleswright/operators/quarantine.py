@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswright.operators.cleaning import first_defect
+from saleswright.operators.joins import join_on_text
 from saleswright.schemas import ColumnSpec
 
 #: Outcome of the rows that break nothing.
@@ -48,7 +49,7 @@ def judge(
     """
     rules: dict[str, Column] = {}
     for defect, (parent, key, id_column) in (parents or {}).items():
-        df = df.join(parent.select(key, id_column), key, "left")
+        df = join_on_text(df, parent.select(key, id_column), key, "left")
         rules[defect] = F.col(id_column).isNotNull()
     rules |= declared_rules(df, specs)
     return df.withColumn("outcome", F.coalesce(first_defect(rules), F.lit(STORED)))

@@ -1,5 +1,6 @@
 """A third of all rows on one key must not end up in one task."""
 
+import re
 from datetime import date
 from decimal import Decimal
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from saleswright.functions import dates
 from saleswright.operators import merging, metrics, modelling, quality
+from saleswright.operators.joins import join_on_text
 from saleswright.plans import staging
 from saleswright.session import sizing_conf
 from saleswright.sources import sinks
@@ -153,3 +155,17 @@ def test_summary_pruned_to_its_day(spark, tmp_path, capsys):
     plan = capsys.readouterr().out
     assert "PartitionFilters: [isnotnull(sale_date" in plan
     assert plan.count("FileScan parquet") == plan.count("PartitionFilters: [isnotnull(sale_date")
+
+
+def test_text_joins_sort_by_hashes(spark, sales, dims, large_scale, capsys):
+    """Codes begin alike, so that sorts by them would compare whole texts."""
+    run = dates.time_value("2024-01-02 00:00:00")
+    plan = plan_after(modelling.sales_fact(sales, *dims, run), capsys)
+    sorts = [line for line in plan.splitlines() if " Sort [" in line]
+    assert len(sorts) == 4 and all(re.search(r"Sort \[_hash#", line) for line in sorts)
+    for how in ("inner", "left", "left_anti"):
+        known = dims[0].where("customer_code < 'C3'").unionByName(dims[0].limit(1).selectExpr("null as customer_code", "'x' as customer_segment"))
+        mine = join_on_text(sales, known, "customer_code", how)
+        plain = sales.join(known, "customer_code", how)
+        assert mine.columns == plain.columns
+        assert mine.exceptAll(plain).isEmpty() and mine.count() == plain.count()
