@@ -11,12 +11,13 @@ from struct import pack
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from saleswright.llm import rans
-from saleswright.llm.common import table
+from saleswright.llm.common import parts_of, table
 from saleswright.storage import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,14 +26,23 @@ END_ID = 0
 SHARD_BYTES = 256 * 1024**2
 #: Units whose ids a worker remembers, twice: the newer and the older ones.
 MEMO_UNITS = 1 << 19
-#: Texts that are split before the units new to the worker are encoded together.
-_TEXTS = 512
+#: Bytes of the texts, about, that are split before the units new to the worker are
+#: encoded together.
+_TEXT_BYTES = 8 * 1024**2
 #: Units that are encoded as one text.
 _JOINED = 64
 
 #: The pre-tokenizer always cuts before a single blank between other characters.
 _CUT = re.compile(r"(?<=[^\s᠎]) (?=[^\s᠎])")
-_BLANKS = re.compile(r"[\s᠎][\s᠎]")
+#: White space side by side, in the classes of RE2, which knows ASCII only by ``\\s``.
+_SPACE = (
+    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+_BLANKS = _SPACE + _SPACE
+#: The pattern also cuts between a letter or a digit and marks that are no apostrophe,
+#: so a word is one unit with or without marks after it.
+_MARKS = ".,;:!?#$%&*)"
+_BEFORE_MARKS = "[0-9A-Za-zÀ-ÖØ-öø-ÿ]$"
 
 
 class _Units:
@@ -43,49 +53,62 @@ class _Units:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         names = tokenizer.get_vocab()
-        #: Ids of tokens that begin with a blank, as the byte alphabet writes it.
-        self.opens = {i for name, i in names.items() if name.startswith("Ġ")}
+        #: Whether a token begins with a blank, as the byte alphabet writes it.
+        self.opens = np.zeros(max(names.values(), default=0) + 1, bool)
+        self.opens[[i for name, i in names.items() if name.startswith("Ġ")]] = True
 
     def ids(self, units: list[str]) -> list[bytes]:
-        """Little-endian ids of each unit."""
+        """Little-endian ids of each of these different units."""
         if len(self.known) > MEMO_UNITS:
             self.known, self.older = {}, self.known
         found = list(map(self.known.get, units))
         if None in found:
-            self._learn({u for u, x in zip(units, found) if x is None})
+            self._learn([u for u, x in zip(units, found) if x is None])
             known = self.known
             found = [known[u] if x is None else x for u, x in zip(units, found)]
         return found
 
-    def _learn(self, units: set[str]) -> None:
-        joined, alone = [], []
-        for unit in units:
-            before = self.older.get(unit)
-            if before is not None:
-                self.known[unit] = before
-            elif self.before and unit.strip("᠎") == unit and unit.split() == [unit]:
-                joined.append(unit)
-            else:
-                alone.append(unit)
-        coded = self.tokenizer.encode_batch_fast(
-            [self.before + u for u in alone], add_special_tokens=False
-        )
-        for unit, found in zip(alone, coded):
-            self._keep(unit, found.ids)
+    def _learn(self, units: list[str]) -> None:
+        before = list(map(self.older.get, units))
+        self.known.update((u, x) for u, x in zip(units, before) if x is not None)
+        units = [u for u, x in zip(units, before) if x is None]
         # Units without white space in or around them are cut apart again where
         # a token begins with a blank, so many are encoded as one text.
-        groups = [joined[k : k + _JOINED] for k in range(0, len(joined), _JOINED)]
-        coded = self.tokenizer.encode_batch_fast(
-            [" " + " ".join(group) for group in groups], add_special_tokens=False
-        )
-        for group, found in zip(groups, coded):
-            ids = found.ids
-            starts = [k for k, i in enumerate(ids) if i in self.opens]
-            for unit, a, b in zip(group, starts, [*starts[1:], len(ids)], strict=True):
-                self._keep(unit, ids[a:b])
-
-    def _keep(self, unit: str, ids: list[int]) -> None:
-        self.known[unit] = pack(f"<{len(ids)}I", *ids)
+        alone, groups = [], []
+        for at in range(0, len(units), _JOINED):
+            group = units[at : at + _JOINED]
+            if not self.before:
+                alone += group
+                continue
+            text = " ".join(group)
+            if text.split() != group or "᠎" in text:
+                fit = [u.split() == [u] and "᠎" not in u for u in group]
+                alone += [u for u, x in zip(group, fit) if not x]
+                group = [u for u, x in zip(group, fit) if x]
+            if group:
+                groups.append(group)
+        coded = self._encode([self.before + u for u in alone])
+        self.known.update((u, pack(f"<{len(ids)}I", *ids)) for u, ids in zip(alone, coded))
+        for group, ids in zip(groups, self._encode([" " + " ".join(g) for g in groups])):
+            found = np.array(ids, "<u4")
+            data = found.tobytes()
+            starts = (4 * np.flatnonzero(self.opens[found])).tolist()
+            ends = [*starts[1:], len(data)]
+            self.known.update((u, data[a:b]) for u, a, b in zip(group, starts, ends, strict=True))
+
+    def _encode(self, texts: list[str]) -> Iterator[list[int]]:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return (found.ids for found in coded)
+
+
+def _distinct(units: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The different units, and which of them each unit is."""
+    found = units.dictionary_encode()
+    return found.dictionary, found.indices.to_numpy()
+
+
+def _list(units: pa.Array) -> list[str]:
+    return units.to_numpy(zero_copy_only=False).tolist()
 
 
 class Tokens:
@@ -109,42 +132,79 @@ class Tokens:
         self.spaced = _Units(self.tokenizer, " ")
         self.bare = _Units(self.tokenizer, "")
 
-    @staticmethod
-    def _lines(text: str) -> list[list[str]]:
-        if _BLANKS.search(text):
-            return [_CUT.split(text)]
-        return [line.split(" ") for line in text.split("\n")]
+    def _spaced(self, units: pa.Array) -> list[bytes]:
+        """Ids of different units that follow a blank."""
+        words = pc.utf8_rtrim(units, characters=_MARKS)
+        marked = pc.and_(pc.not_equal(words, units), pc.match_substring_regex(words, _BEFORE_MARKS))
+        words, which = _distinct(pc.if_else(marked, words, units))
+        words = _list(words)
+        coded = self.spaced.ids(words)
+        found = [coded[k] for k in which.tolist()]
+        at = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
+        whole = _list(units.take(pa.array(at)))
+        ends = [u[len(words[k]) :] for u, k in zip(whole, which[at].tolist())]
+        different = list(set(ends))
+        marks = dict(zip(different, self.bare.ids(different)))
+        for k, end in zip(at.tolist(), ends):
+            found[k] += marks[end]
+        return found
 
-    def _whole(self, text: str) -> bytes:
+    def _whole(self, text: str) -> np.ndarray:
         self.tokenizer.encode_special_tokens = False
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         self.tokenizer.encode_special_tokens = True
-        return pack(f"<{len(ids)}I", *ids)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        whole = {i: self._whole(t) for i, t in enumerate(texts) if any(a in t for a in self.added)}
-        if whole:
-            rest = iter(self.encode([t for i, t in enumerate(texts) if i not in whole]))
-            return [whole[i] if i in whole else next(rest) for i in range(len(texts))]
-        split = [self._lines(text) for text in texts]
-        newline, *bare = self.bare.ids(["\n", *[line[0] for lines in split for line in lines]])
-        words: list[str] = []
-        for lines in split:
-            for line in lines:
-                words += line[1:]
-        spaced = self.spaced.ids(words)
-        firsts = iter(bare)
-        found = []
-        at = 0
-        for lines in split:
-            coded = []
-            for line in lines:
-                end = at + len(line) - 1
-                coded.append(next(firsts) + b"".join(spaced[at:end]))
-                at = end
-            found.append(newline.join(coded))
-        return found
+        return np.array(ids, "<u4")
+
+    def _cut(self, text: str) -> np.ndarray:
+        """Ids of a text with white space side by side."""
+        units = _CUT.split(text)
+        (first,) = self.bare.ids(units[:1])
+        rest, which = _distinct(pa.array(units[1:], pa.large_string()))
+        found = self._spaced(rest)
+        return np.frombuffer(first + b"".join([found[k] for k in which]), "<u4")
+
+    def _lines(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of texts that are cut at every newline and blank."""
+        lines = pc.split_pattern(texts, "\n")
+        line_of_text = lines.offsets.to_numpy()
+        cut = pc.split_pattern(lines.values, " ")
+        unit_of_line, units = cut.offsets.to_numpy(), cut.values
+        sizes = np.diff(unit_of_line)
+        spaced = np.ones(len(units), bool)
+        spaced[unit_of_line[:-1]] = False
+        bare_units, bare = _distinct(units.take(pa.array(unit_of_line[:-1])))
+        spaced_units, others = _distinct(units.filter(pa.array(spaced)))
+        newline, *firsts = self.bare.ids(["\n", *_list(bare_units)])
+        coded = [b"", newline, *firsts, *self._spaced(spaced_units)]
+        # The units in order; a newline follows each line but the last of a text,
+        # which nothing does.
+        place = np.arange(len(units)) + np.repeat(np.arange(len(sizes)), sizes)
+        which = np.ones(len(units) + len(sizes), np.int64)
+        which[unit_of_line[line_of_text[1:]] + line_of_text[1:] - 1] = 0
+        which[place[~spaced]] = 2 + bare
+        which[place[spaced]] = 2 + len(firsts) + others
+        lengths = np.fromiter(map(len, coded), np.int64, len(coded)) >> 2
+        starts = np.cumsum(lengths) - lengths
+        taken = lengths[which]
+        ends = np.cumsum(taken)
+        at = np.repeat(starts[which] - (ends - taken), taken)
+        ids = np.frombuffer(b"".join(coded), "<u4")[at + np.arange(len(at))]
+        cuts = ends[unit_of_line[line_of_text[1:-1]] + line_of_text[1:-1] - 1]
+        return np.split(ids, cuts)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """32-bit ids of each text."""
+        column = pa.array(texts, pa.large_string())
+        added = np.zeros(len(texts), bool)
+        for content in self.added:
+            added |= pc.match_substring(column, content).to_numpy(zero_copy_only=False)
+        blanks = pc.match_substring_regex(column, _BLANKS).to_numpy(zero_copy_only=False)
+        plain = ~added & ~blanks
+        lines = iter(self._lines(column.filter(pa.array(plain))) if plain.any() else ())
+        return [
+            next(lines) if p else self._whole(text) if a else self._cut(text)
+            for text, p, a in zip(texts, plain, added)
+        ]
 
 
 _TOKENS: dict[int, Tokens] = {}
@@ -217,16 +277,15 @@ def write_token_files(
         "shard: int, segment: int, bits: int, symbols: binary, freqs: binary, n: long, "
         f"blocks: array<{_BLOCK.format(id=id_type)}>"
     )
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4")
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, np.ndarray]]:
         tokens = _tokens(shared.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, _TEXTS):
-                part = batch.slice(at, _TEXTS)
+            for part in parts_of(batch, "text", _TEXT_BYTES):
                 coded = tokens.encode(part.column("text").to_pylist())
                 for doc, ids in zip(part.column("id").to_pylist(), coded):
-                    yield doc, np.frombuffer(ids + end, "<u4")
+                    yield doc, np.append(ids, end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()

@@ -4,12 +4,14 @@ import zlib
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from saleswright.llm import rans, token_files
+from saleswright.llm.common import parts_of
 from saleswright.llm.token_files import TOKENIZER, read_token_files, write_token_files
 
 
@@ -121,3 +123,33 @@ def test_repeated_rows_and_ids_all_count(spark, docs, tmp_path):
 def test_no_documents(spark, docs, tmp_path):
     write_token_files(docs([]), f"{tmp_path}/t")
     assert read_token_files(spark, f"{tmp_path}/t").count() == 0
+
+
+def test_each_different_unit_is_looked_up_once(monkeypatch):
+    """What is done in Python follows the different units, and the ids are the library's."""
+    from tokenizers import Tokenizer
+
+    with open(TOKENIZER, encoding="utf-8") as file:
+        definition = file.read()
+    tokens, plain = token_files.Tokens(definition), Tokenizer.from_str(definition)
+    looked = []
+    ids = token_files._Units.ids
+    monkeypatch.setattr(
+        token_files._Units, "ids", lambda self, units: looked.append(list(units)) or ids(self, units)
+    )
+    letters = [*"ab1'.\n  \t \u180e\u00a0\u3000é日😀\x1c\x85", "ll", "word", "<|endoftext|>"]
+    rng = np.random.default_rng(9)
+    odd = ["".join(rng.choice(letters, rng.integers(0, 30))) for _ in range(3000)]
+    texts = [*odd, "", " ", "\n", "a\n", " a", "a ", "the same words\nthe same words\n" * 500]
+    for text, found in zip(texts, tokens.encode(texts), strict=True):
+        assert plain.encode(text, add_special_tokens=False).ids == found.tolist()
+    assert all(len(units) == len(set(units)) for units in looked)
+    assert sum(map(len, looked)) < sum(len(t.split(" ")) for t in texts)
+
+
+def test_parts_of_a_batch_are_bounded():
+    rows = pa.table({"text": ["x" * 10, None, "y" * 25, "", "z" * 3, "w" * 4]}).to_batches()[0]
+    parts = [p.column("text").to_pylist() for p in parts_of(rows, "text", 12)]
+    assert [t for p in parts for t in p] == rows.column("text").to_pylist()
+    assert all(sum(len(t or "") for t in p[:-1]) <= 12 for p in parts)
+    assert list(parts_of(rows.slice(0, 0), "text", 12)) == []
