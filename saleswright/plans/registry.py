@@ -26,7 +26,7 @@ from saleswright.operators import (
 )
 from saleswright.operators.joins import join_on_text
 from saleswright.plans import jobs, staging
-from saleswright.session import enable_skew_handling
+from saleswright.session import enable_skew_handling, size_shuffles
 from saleswright.sources import files, key_filters, sinks
 from saleswright.storage import materialize, scratch_path
 
@@ -56,7 +56,8 @@ def query(build: Query) -> Query:
     """Register ``build`` under its own name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return money.decimals_as_double(build(enable_skew_handling(spark), sf_dir))
+        size_shuffles(enable_skew_handling(spark), staging.given_bytes(spark, sf_dir))
+        return money.decimals_as_double(build(spark, sf_dir))
 
     _QUERIES[build.__name__] = run
     return build

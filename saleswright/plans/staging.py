@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswright.operators.ingest import flatten_customers
+from saleswright.session import first_partitions
 from saleswright.sources.files import spread
-from saleswright.storage import materialize
+from saleswright.storage import materialize, size_of
 
 
 _known_schemas: dict[tuple[str, str], T.StructType] = {}
@@ -27,6 +28,14 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(_known_schemas[seen]).parquet(path)
 
 
+#: The tables that sales, customers, products and suppliers are made of.
+GIVEN = ("lineitem", "orders", "customer", "part", "supplier")
+
+
+def given_bytes(spark: SparkSession, sf_dir: str) -> int:
+    return sum(size_of(spark, f"{sf_dir}/{table}.parquet") for table in GIVEN)
+
+
 def _code(prefix: str, number: str) -> str:
     return f"concat('{prefix}', lpad(cast({number} as string), 19, '0'))"
 
@@ -55,7 +64,7 @@ def raw_sales_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         # The given table is one row group. Dealt by the key of the join below, so
         # that one shuffle serves both; an order has a handful of lines.
         by=["l_orderkey"],
-        parts=int(spark.conf.get("spark.sql.shuffle.partitions")),
+        parts=first_partitions(spark),
     ).selectExpr(
         "*", "cast(rint(l_tax * 100) as int) as tax", "cast(rint(l_discount * 100) as int) as disc"
     )
@@ -123,7 +132,8 @@ def _with_places(table: DataFrame, nation_key: str, spark: SparkSession, sf_dir:
 def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as nested documents."""
     mail = "concat('customer.', digits, '@mail.example.com')"
-    named = given(spark, sf_dir, "customer").selectExpr(
+    # Cleaning sorts customers within the tasks that read them, as it does products.
+    named = spread(given(spark, sf_dir, "customer"), by=["c_custkey"]).selectExpr(
         "*",
         "split_part(c_name, '#', 1) as given",
         "split_part(c_name, '#', 2) as digits",
@@ -193,7 +203,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"cast({rate} as decimal(3,2)), 2) as double)"
         )
 
-    return given(spark, sf_dir, "part").selectExpr(
+    return spread(given(spark, sf_dir, "part"), by=["p_partkey"]).selectExpr(
         *_columns(
             {
                 "product_code": _code("PROD", "(p_partkey - if(p_partkey % 40 = 0, 1, 0))"),

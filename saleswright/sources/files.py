@@ -83,8 +83,8 @@ def read_table(
     return table if columns is None else table.select(*columns)
 
 
-def spread(df: DataFrame, by: Sequence[str], parts: int) -> DataFrame:
-    """Deal a scan that comes in few pieces over ``parts`` tasks.
+def spread(df: DataFrame, by: Sequence[str], parts: int | None = None) -> DataFrame:
+    """Deal a scan that comes in few pieces over ``parts`` tasks, or as many as AQE finds fit.
 
     A Parquet row group, a JSON array or a compressed CSV file is read by one
     task, and without a shuffle that task also does all the work that follows.
@@ -93,4 +93,4 @@ def spread(df: DataFrame, by: Sequence[str], parts: int) -> DataFrame:
     grouping that follows saves that one its own shuffle. Rows are always moved, so
     a table of many pieces should be read without this.
     """
-    return df.repartition(parts, *by)
+    return df.repartition(*by) if parts is None else df.repartition(parts, *by)
