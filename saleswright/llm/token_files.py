@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from saleswright.llm import rans
-from saleswright.llm.common import parts_of, table
+from saleswright.llm.common import joined_ids, listed, parts_of, table
 from saleswright.storage import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -107,10 +107,6 @@ def _distinct(units: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return found.dictionary, found.indices.to_numpy()
 
 
-def _list(units: pa.Array) -> list[str]:
-    return units.to_numpy(zero_copy_only=False).tolist()
-
-
 class Tokens:
     """Ids of texts by the tokenizer, which sees each unit of a text once.
 
@@ -137,11 +133,11 @@ class Tokens:
         words = pc.utf8_rtrim(units, characters=_MARKS)
         marked = pc.and_(pc.not_equal(words, units), pc.match_substring_regex(words, _BEFORE_MARKS))
         words, which = _distinct(pc.if_else(marked, words, units))
-        words = _list(words)
+        words = listed(words)
         coded = self.spaced.ids(words)
         found = [coded[k] for k in which.tolist()]
         at = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
-        whole = _list(units.take(pa.array(at)))
+        whole = listed(units.take(pa.array(at)))
         ends = [u[len(words[k]) :] for u, k in zip(whole, which[at].tolist())]
         different = list(set(ends))
         marks = dict(zip(different, self.bare.ids(different)))
@@ -174,7 +170,7 @@ class Tokens:
         spaced[unit_of_line[:-1]] = False
         bare_units, bare = _distinct(units.take(pa.array(unit_of_line[:-1])))
         spaced_units, others = _distinct(units.filter(pa.array(spaced)))
-        newline, *firsts = self.bare.ids(["\n", *_list(bare_units)])
+        newline, *firsts = self.bare.ids(["\n", *listed(bare_units)])
         coded = [b"", newline, *firsts, *self._spaced(spaced_units)]
         # The units in order; a newline follows each line but the last of a text,
         # which nothing does.
@@ -183,12 +179,7 @@ class Tokens:
         which[unit_of_line[line_of_text[1:]] + line_of_text[1:] - 1] = 0
         which[place[~spaced]] = 2 + bare
         which[place[spaced]] = 2 + len(firsts) + others
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded)) >> 2
-        starts = np.cumsum(lengths) - lengths
-        taken = lengths[which]
-        ends = np.cumsum(taken)
-        at = np.repeat(starts[which] - (ends - taken), taken)
-        ids = np.frombuffer(b"".join(coded), "<u4")[at + np.arange(len(at))]
+        ids, ends = joined_ids(coded, which)
         cuts = ends[unit_of_line[line_of_text[1:-1]] + line_of_text[1:-1] - 1]
         return np.split(ids, cuts)
 
