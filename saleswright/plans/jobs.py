@@ -13,7 +13,7 @@ from datetime import date, datetime
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from saleswright import schemas
@@ -153,7 +153,10 @@ def run_modelling(spark: SparkSession, cfg: JobConfig) -> dict[str, int]:
     fact = modelling.sales_fact(
         table("clean_sales"), table("dim_customers"), table("dim_products"), cfg.run_time
     )
-    counts["fact_sales"] = sinks.write_partitioned(fact, cfg.table("fact_sales"), "sale_date")
+    parts = sinks.parts_for(table("clean_sales").count())
+    counts["fact_sales"] = sinks.write_partitioned(
+        fact, cfg.table("fact_sales"), "sale_date", parts
+    )
 
     fact = files.read_table(spark, cfg.table("fact_sales"), schema=fact.schema)
     counts["daily_category_metrics"] = sinks.write_partitioned(
@@ -197,19 +200,31 @@ def load_fact(
     only files of the fact that may hold one that arrives are opened for that. A
     large load opens them all and writes no filters; the next small one does.
     Ids of sales are given in the tasks that write: unique and growing, but not
-    without gaps.
+    without gaps. A load that is larger still is appended in parts of some days
+    each; if it breaks off, the load that repeats it appends those that lack.
     """
     top = 0
+    parts = sinks.parts_for(sales.count())
     if open_if_present(spark, path) is not None:
         # Also for files of a load that broke off before their filters were written.
         if key_filters.few(sales):
             key_filters.add_filters(spark, path, "transaction_id", "sale_id")
         top = key_filters.largest_id(spark, path, "sale_id")
         sales = key_filters.rows_to_append(spark, path, sales, "transaction_id")
-    fresh = modelling.warehouse_fact(sales, customers, products)
-    n = sinks.append_partitioned(
-        fresh, path, "sale_date", lambda rows: growing_ids(rows, "sale_id", top)
-    )
+        if parts > 1:
+            # Written once, as what the fact lacks is not to be found for each part.
+            sales = materialize(sales, "lacking")
+    n = 0
+    for part in sinks.in_parts(sales, "sale_date", parts):
+        seen = Observation()
+
+        def numbered(rows: DataFrame, top=top, seen=seen) -> DataFrame:
+            return growing_ids(rows, "sale_id", top).observe(seen, F.max("sale_id").alias("top"))
+
+        fresh = modelling.warehouse_fact(part, customers, products)
+        added = sinks.append_partitioned(fresh, path, "sale_date", numbered)
+        if added:
+            n, top = n + added, seen.get["top"]
     if 0 < n <= key_filters.FEW_ROWS:
         key_filters.add_filters(spark, path, "transaction_id", "sale_id")
     return n

@@ -28,7 +28,7 @@ from saleswright.operators.joins import join_on_text
 from saleswright.plans import jobs, staging
 from saleswright.session import enable_skew_handling, size_shuffles
 from saleswright.sources import files, key_filters, sinks
-from saleswright.storage import materialize, scratch_path
+from saleswright.storage import materialize, scratch_path, scratch_run
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -354,9 +354,9 @@ def ingest_metadata(spark, d):
     )
 
 
-def _as_csv(df: DataFrame, label: str) -> str:
+def _as_csv(df: DataFrame, label: str, compression: str = "none") -> str:
     path = scratch_path(df.sparkSession, label)
-    sinks.write_csv(df, path)
+    sinks.write_csv(df, path, compression)
     return path
 
 
@@ -792,12 +792,15 @@ def sink_json_roundtrip(spark, d):
 def _delivered(
     spark: SparkSession, d: str, sales: DataFrame, lake: str, run: str, ts: str
 ) -> jobs.JobConfig:
-    """A run's sources as files: sales and products as CSV, customers as JSON arrays."""
+    """A run's sources as files: sales and products as CSV, customers as JSON arrays.
+
+    Each task that makes sales writes one compressed file, so as many tasks read them.
+    """
     documents = scratch_path(spark, "customers-json")
     staging.write_document_arrays(staging.customer_documents(spark, d), documents)
     return jobs.JobConfig(
-        sales_csv=_as_csv(sales, "sales-csv"),
-        products_csv=_as_csv(staging.raw_products(spark, d), "products-csv"),
+        sales_csv=_as_csv(sales, "sales-csv", "gzip"),
+        products_csv=_as_csv(staging.raw_products(spark, d), "products-csv", "gzip"),
         customers_json=documents,
         lake=lake,
         run_id=run,
@@ -809,10 +812,12 @@ def _delivered(
 @query
 def batch_run(spark, d):
     lake = scratch_path(spark, "lake")
-    cfg = _delivered(spark, d, staging.raw_sales_wide(spark, d), lake, "run-1", RUN_TS)
-    counts, tallies = jobs.run_to_quality(spark, cfg)
+    with scratch_run(spark):
+        cfg = _delivered(spark, d, staging.raw_sales_wide(spark, d), lake, "run-1", RUN_TS)
+        counts, tallies = jobs.run_to_quality(spark, cfg)
+        closed = int(tallies.first().critical_failures > 0)
     rows = [(stage, name, n) for stage, tables in counts.items() for name, n in tables.items()]
-    rows.append(("quality", "gate_closed", int(tallies.first().critical_failures > 0)))
+    rows.append(("quality", "gate_closed", closed))
     return spark.createDataFrame(rows, "stage string, table_name string, records long")
 
 

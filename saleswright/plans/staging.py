@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswright.operators.ingest import flatten_customers
-from saleswright.session import first_partitions
+from saleswright.session import SHUFFLES_GO, first_partitions, temporary_conf
 from saleswright.sources.files import spread
-from saleswright.storage import materialize, size_of
+from saleswright.storage import materialize, scratch_run, size_of
 
 
 _known_schemas: dict[tuple[str, str], T.StructType] = {}
@@ -264,17 +264,18 @@ def write_document_arrays(
         place.alias("place"),
         F.to_json(F.struct(*documents.columns)).alias("json"),
     )
-    dealt = materialize(dealt, "documents")
-    opener = F.when(F.col("place") == 0, "[").otherwise(",")
-    elements = dealt.withColumn("value", F.concat(opener, "json")).drop("json")
-    closers = dealt.groupBy("file").agg(
-        (F.max("place") + 1).alias("place"), F.lit("]").alias("value")
-    )
-    (
-        elements.unionByName(closers)
-        .repartition(files, "file")
-        .sortWithinPartitions("file", "place")
-        .select("file", "value")
-        .write.partitionBy("file")
-        .text(path)
-    )
+    with scratch_run(spark := documents.sparkSession), temporary_conf(spark, SHUFFLES_GO):
+        dealt = materialize(dealt, "documents")
+        opener = F.when(F.col("place") == 0, "[").otherwise(",")
+        elements = dealt.withColumn("value", F.concat(opener, "json")).drop("json")
+        closers = dealt.groupBy("file").agg(
+            (F.max("place") + 1).alias("place"), F.lit("]").alias("value")
+        )
+        (
+            elements.unionByName(closers)
+            .repartition(files, "file")
+            .sortWithinPartitions("file", "place")
+            .select("file", "value")
+            .write.partitionBy("file")
+            .text(path)
+        )
