@@ -10,6 +10,7 @@ from test_jobs import config, sources  # noqa: F401
 from saleswright import storage
 from saleswright.plans import jobs
 from saleswright.plans.registry import all_queries
+from saleswright.session import temporary_conf
 from saleswright.sources import files, key_filters, sinks
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -87,8 +88,26 @@ def test_parts_replace_a_table_or_leave_none(spark, tmp_path, monkeypatch):
     assert os.listdir(tmp_path) == []
 
 
+def test_a_large_delivery_is_shuffled_once_to_be_compared(spark, tmp_path, monkeypatch, capsys):
+    monkeypatch.setattr(key_filters, "FEW_ROWS", 0)
+    path = f"{tmp_path}/t"
+    stored = spark.range(500).selectExpr("cast(id as string) as key", "id")
+    stored.write.parquet(path)
+    arriving = spark.range(400, 700).selectExpr("cast(id as string) as key", "id")
+    arriving.union(arriving).union(spark.sql("select cast(null as string), 1L")).write.parquet(f"{path}-new")
+    arriving = spark.read.parquet(f"{path}-new")
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    with temporary_conf(spark, off):
+        fresh = key_filters.rows_to_append(spark, path, arriving, "key")
+        capsys.readouterr()
+        fresh.explain()
+        assert capsys.readouterr().out.count("Exchange hashpartitioning") == 2
+        found = sorted((r.key or "", r.id) for r in fresh.collect())
+    assert found == sorted([("", 1), *((str(k), k) for k in range(500, 700))])
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
-@pytest.mark.parametrize("name", ["batch_run"])
+@pytest.mark.parametrize("name", ["batch_run", "batch_rerun"])
 def test_deliveries_are_compressed_and_go_when_read(spark, monkeypatch, name):
     shared, seen, plain = storage.shared_dir(spark), [], jobs.run_ingest
     before = set(os.listdir(shared))
