@@ -107,7 +107,7 @@ def test_a_large_delivery_is_shuffled_once_to_be_compared(spark, tmp_path, monke
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
-@pytest.mark.parametrize("name", ["batch_run", "batch_rerun"])
+@pytest.mark.parametrize("name", ["batch_run", "batch_rerun", "batch_resume"])
 def test_deliveries_are_compressed_and_go_when_read(spark, monkeypatch, name):
     shared, seen, plain = storage.shared_dir(spark), [], jobs.run_ingest
     before = set(os.listdir(shared))
