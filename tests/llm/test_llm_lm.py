@@ -182,6 +182,53 @@ def test_model_sees_twenty_words_back():
     assert (logs - opening)[first].mean() > -0.6 * np.log10(64)
 
 
+def test_all_ids_of_windows_are_trained_on(spark, docs):
+    """Attention is given the classes of all ids, those inside words included."""
+    ranks = spark.sparkContext.broadcast(lm.load_ranks(lm.RANKS))
+    train = docs(["unforgettably xylophonic words", "zzqx " * 300, ""]).select(text_bytes("text").alias("text"))
+    windows = lm._gather(train, ranks).filter(F.col("kind") == lm.SAMPLE)
+    subwords = lm.Subwords(ranks.value)
+    rng = np.random.default_rng(14)
+    classes = lm.make_classes(rng.integers(0, 9, len(subwords.opens)), subwords.opens.astype(int))
+    given = sorted((r.key, classes.of[np.frombuffer(r.ids, "<i4")].tolist()) for r in windows.collect())
+    followed = lm._followed(windows, classes).filter("key IS NOT NULL").collect()
+    assert sorted((r.key, np.frombuffer(r.ids, "<i2").tolist()) for r in followed) == given
+    assert any(c >= classes.words for _, ids in given for c in ids)
+
+
+def test_attention_foretells_ids_inside_words():
+    """The last id of a word is its second one, and the two ids before it do not tell which."""
+    rng = np.random.default_rng(15)
+
+    def text(n):
+        second = rng.integers(10, 20, n)
+        return np.column_stack([rng.integers(0, 10, n), second, np.full((n, 2), 20), second]).ravel()
+
+    train, held = [text(60) for _ in range(600)], [text(60) for _ in range(20)]
+    opens = (np.arange(21) < 10).astype(int)
+    classes = lm.make_classes(np.bincount(np.concatenate(train), minlength=21), opens)
+    shape, w = lm.inside_shape(classes), classes.words
+    total = np.zeros(np.prod(shape) + w * w, np.float32)
+    lm.count_follows(total, np.concatenate(train), np.array([len(x) for x in train]), classes)
+    counts, between = total[: np.prod(shape)].reshape(shape), total[np.prod(shape) :].reshape(w, w)
+    follow = lm.follow_of(counts, between, classes)
+    inside = lm.inside_of(follow, classes, counts)
+    flat = lm.start(classes)
+    for number in range(lm.ROUNDS):
+        flat = lm.train_windows(flat, follow, classes, [train], lm.RATE * (1 - number / lm.ROUNDS))[1]
+    by_words, by_ids = lm.both(flat, classes)
+    p, by_ids = attention.unpack(by_words, w), attention.unpack(by_ids, classes.n)
+    last = np.tile(np.arange(60 * 5) % 5 == 4, 20).reshape(20, -1)[:, 1:].ravel()
+    logs, opening = lm.spelled(p, follow, classes, held, inside, by_ids)
+    assert np.isfinite(logs).all() and np.isfinite(opening).all()
+    assert logs[last].mean() > np.log10(0.4)
+    assert lm.spelled(p, follow, classes, held, inside)[0][last].mean() < np.log10(0.2)
+    some = [lm.spelled(p, follow, classes, [np.append(held[0][:33], i)], inside, by_ids) for i in range(21)]
+    chances = np.array([10 ** logs[-1] for logs, _ in some])
+    assert chances.sum() == pytest.approx(1, abs=1e-4)
+    assert 10 ** some[0][1][-1] == pytest.approx(chances[:10].sum(), abs=1e-4)
+
+
 def test_inside_words_the_two_ids_before_count():
     """Every target is counted once; what was counted gives probabilities over all ids."""
     rng = np.random.default_rng(13)
